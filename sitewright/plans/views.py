@@ -55,14 +55,15 @@ VIEWS = {
         FROM {{lineitem}} l JOIN {{v_loci}} v ON l.l_partkey % 997 = v.loc) t""",
     "v_sites": f"""SELECT sample, {_tagged('site', 'loc')} AS site_id, chrom, site_pos + loc % 5 AS pos
         FROM {{v_loci}} CROSS JOIN {_samples} s""",
-    # read pairs: two consecutive lines of an order are mates
-    "v_reads": f"""SELECT {SAMPLE.format(k='l_orderkey')} AS sample,
-        concat('p', CAST(l_orderkey AS STRING), '.', CAST(CAST(floor((l_linenumber-1)/2) AS INT) AS STRING)) AS qname,
-        (l_linenumber-1) % 2 + 1 AS mate,
+    # read pairs: one line is one pair, a few lose their second mate
+    "v_reads": f"""SELECT sample, qname, mate,
         CASE WHEN l_suppkey % 23 = 0 THEN concat('N',substr(base,1,len-1)) ELSE substr(base,1,len) END AS seq,
         substr(translate(concat(q,q,q,q),'0123456789abcdef','#+05:?ABCDEFGHII'),1,len) AS qual
-      FROM (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(30 + l_orderkey % 71 AS INT) AS len, md5(CAST(l_orderkey*7+l_linenumber AS STRING)) AS q,
-        {dna(*[_tagged(p, '(l_partkey*3+l_linenumber) % 499') for p in 'ABCD'])} AS base FROM {{lineitem}}) t""",
+      FROM (SELECT {SAMPLE.format(k='l_orderkey')} AS sample, l_suppkey, m.mate,
+        concat('p', CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS STRING), '.', CAST(l_partkey AS STRING), '.', CAST(l_suppkey AS STRING)) AS qname,
+        CAST(30 + l_orderkey % 71 AS INT) AS len, md5(CAST(l_orderkey*7+l_linenumber+m.mate AS STRING)) AS q,
+        {dna(*[_tagged(p, '(l_partkey*3+l_linenumber*m.mate) % 499') for p in 'ABCD'])} AS base
+        FROM {{lineitem}} CROSS JOIN (SELECT 1 AS mate UNION ALL SELECT 2 AS mate) m WHERE m.mate = 1 OR l_suppkey % 29 <> 0) t""",
     "v_positions": """SELECT CAST(l_suppkey AS BIGINT) AS grp, l_orderkey*17 % 20011 AS pos, count(*) AS n
         FROM {lineitem} GROUP BY CAST(l_suppkey AS BIGINT), l_orderkey*17 % 20011""",
     "v_mask": """SELECT concat('chr', CAST(p_partkey % 5 + 1 AS STRING)) AS chrom, 1000 + (p_partkey % 200)*400 - p_size AS start_pos,
@@ -143,6 +144,21 @@ def substitute(sql: str, names: dict) -> str:
     return _REF.sub(lambda m: names[m.group(1)], sql)
 
 
+_FEW: dict = {}
+
+
+def spread(df, name: str):
+    """Spread a compute-heavy view over all cores when the table arrives as fewer splits than there are cores."""
+    if name not in ("lineitem", "orders", "documents", "pages"):
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    key = (spark.sparkContext.applicationId, tuple(df.inputFiles()[:1]))
+    if key not in _FEW:
+        _FEW[key] = df.rdd.getNumPartitions() * 2 <= cores
+    return df.repartition(cores) if _FEW[key] else df
+
+
 class Tables:
     """Lazy access to base tables and views of one scale-factor folder."""
 
@@ -151,7 +167,7 @@ class Tables:
 
     def __getattr__(self, name: str):
         if name in BASE:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"), name)
         if name not in VIEWS:
             raise AttributeError(name)
         if name not in self._cache:
