@@ -87,5 +87,5 @@ def copy_class(ratio) -> Column:
     return (
         F.when(r < 0.25, "low-level / mosaic").when(r < 0.75, "hemizygous single-copy")
         .when(r < 1.25, "homozygous single-copy (or 2 hemizygous copies)").when(r < 1.75, "likely 2-3 copies")
-        .otherwise(F.format_string("multi-copy (~%.1fx)", r))
+        .otherwise(F.format_string("multi-copy (~%.1fx)", F.bround(r, 1)))
     )

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from sitewright.plans import registry
-from sitewright.plans import q_functions, q_reads, q_sites  # noqa: F401
+from sitewright.plans import q_depth, q_evidence, q_functions, q_junctions, q_reads, q_sites  # noqa: F401
 
 
 def queries():
