@@ -27,7 +27,9 @@ def carry(df: DataFrame, keys: list[str], summary: dict, carried: dict, tile: st
     """
     per_tile = df.groupBy(*keys, tile).agg(*[e.alias(n) for n, e in summary.items()])
     order = Window.partitionBy(*keys).orderBy(tile)
-    per_tile = per_tile.select(*keys, tile, *[f(order).alias(n) for n, f in carried.items()])
+    for n, f in carried.items():  # later entries may build on earlier ones
+        per_tile = per_tile.withColumn(n, f(order))
+    per_tile = per_tile.select(*keys, tile, *carried)
     return df.join(per_tile, [*keys, tile])
 
 

@@ -127,7 +127,7 @@ VIEWS = {
     # reference blocks under the gene models: one 1,000 bp block per gene
     "v_gene_ref": f"""SELECT concat('chr', CAST(p_partkey % 5 + 1 AS STRING)) AS chrom, 1 + p_partkey*1000 AS start_pos,
         concat({",".join("repeat(%s, 10)" % _DNA % _tagged(p, 'p_partkey') for p in 'UVWX')}) AS seq FROM {{part}}""",
-    "v_variants": """SELECT CAST(l_orderkey*10 + l_linenumber AS BIGINT) AS var_id, concat('chr', CAST(l_partkey % 5 + 1 AS STRING)) AS chrom,
+    "v_variants": """SELECT CAST((l_orderkey*10 + l_linenumber)*1000000000 + l_partkey*2000 + l_suppkey AS BIGINT) AS var_id, concat('chr', CAST(l_partkey % 5 + 1 AS STRING)) AS chrom,
         1 + l_partkey*1000 + l_orderkey % 1000 AS pos, substr('ACGT', CAST(l_suppkey % 4 + 1 AS INT), 1) AS alt,
         CASE WHEN l_linenumber % 3 = 0 THEN 'deletion' WHEN l_linenumber % 3 = 1 THEN 'insertion' ELSE 'snv' END AS indel_type,
         CAST(CASE WHEN l_linenumber % 3 = 2 THEN 1 ELSE 1 + l_suppkey % 9 END AS INT) AS size FROM {lineitem}""",
