@@ -81,7 +81,7 @@ VIEWS = {
         concat('el', CAST(l_partkey % 50 AS STRING), CASE l_suppkey % 5 WHEN 0 THEN '|src=element_db' WHEN 1 THEN '|src=payload' WHEN 2 THEN '|src=sample_contig' WHEN 3 THEN '|src=univec' ELSE '' END) AS sseqid,
         CAST(70 + l_partkey % 31 AS DOUBLE) AS pident, 15 + l_orderkey % 60 AS length, 1 + l_partkey % 900 AS qstart, 1 + l_partkey % 900 + 14 + l_orderkey % 60 AS qend,
         CASE WHEN l_partkey % 2 = 0 THEN 1 + l_suppkey ELSE 500 + l_suppkey END AS sstart, 200 + l_suppkey AS send,
-        CAST(20 + (l_partkey*l_linenumber) % 40 AS DOUBLE) AS bitscore, CAST(l_suppkey % 3 AS INT) AS db_idx, l_orderkey*10 + l_linenumber AS line_no FROM {{lineitem}}""",
+        CAST(20 + (l_partkey*l_linenumber) % 40 AS DOUBLE) AS bitscore, CAST(l_suppkey % 3 AS INT) AS db_idx, CAST((l_orderkey*10 + l_linenumber)*1000000000 + l_partkey*2000 + l_suppkey AS BIGINT) AS line_no FROM {{lineitem}}""",
     # host similarity hits of assembled inserts, one insert per order
     "v_inserts": f"""SELECT {SAMPLE.format(k='o_custkey')} AS sample, concat('insertion_', CAST(o_orderkey AS STRING)) AS site_id,
         concat('chr', CAST(o_custkey % 5 + 1 AS STRING)) AS site_chr, o_orderkey*7 % 100000 AS site_pos,
