@@ -22,15 +22,20 @@ def pick_primers(amplicons: DataFrame, keys: list[str]) -> DataFrame:
         return F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(STEP))).otherwise(F.array().cast("array<int>"))
 
     def best(direction: str, limit: Column, prefix: str) -> DataFrame:
-        rows = amplicons.select(*keys, "amplicon_seq", n.alias("_n"), F.explode(starts(limit)).alias("_w"))
+        # windows and candidate primers leave generators, so their text is computed once per row
+        text = F.col("amplicon_seq")
         if direction == "forward":
-            region = F.substring(F.col("amplicon_seq"), F.col("_w") + 1, F.lit(REGION))
+            region = lambda w: F.substring(text, w + 1, F.lit(REGION))
+            cut = lambda r, l: F.upper(F.substring(r, F.lit(1), l))
         else:
-            region = F.substring(F.col("amplicon_seq"), F.greatest(F.col("_n") - F.col("_w") - REGION, F.lit(0)) + 1,
-                                 F.least(F.lit(REGION), F.col("_n") - F.col("_w")))
-        rows = rows.select(*keys, "_n", "_w", region.alias("_r"), F.explode(F.sequence(F.lit(LENGTHS[0]), F.lit(LENGTHS[1]))).alias("_l"))
-        text = F.substring(F.col("_r"), F.lit(1), F.col("_l")) if direction == "forward" else revcomp(F.right("_r", F.col("_l")))
-        rows = rows.withColumn("_p", F.upper(text)).filter(~F.contains("_p", F.lit("N")) & ~has_run("_p"))
+            region = lambda w: F.substring(text, F.greatest(n - w - REGION, F.lit(0)) + 1, F.least(F.lit(REGION), n - w))
+            cut = lambda r, l: F.upper(revcomp(F.right(r, l)))
+        windows = F.transform(starts(limit), lambda w: F.struct(w.alias("_w"), region(w).alias("_r")))
+        rows = amplicons.select(*keys, n.alias("_n"), F.explode(windows).alias("x")).select(*keys, "_n", "x.*")
+        sizes = F.sequence(F.lit(LENGTHS[0]), F.lit(LENGTHS[1]))
+        picks = F.transform(sizes, lambda l: F.struct(l.alias("_l"), cut(F.col("_r"), l).alias("_p")))
+        rows = rows.select(*keys, "_n", "_w", F.explode(picks).alias("x")).select(*keys, "_n", "_w", "x.*")
+        rows = rows.filter(~F.contains("_p", F.lit("N")) & ~has_run("_p"))
         band = None
         for i, (lo, hi) in enumerate(GC_BANDS):
             cond = F.col("_gc").between(lo, hi)

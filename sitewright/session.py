@@ -2,9 +2,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,18 +22,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; a scratch folder only for a local session without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    key = spark.sparkContext.applicationId
+    if key not in _LOCAL:
+        _LOCAL[key] = tempfile.mkdtemp(prefix="sitewright-")
+    return _LOCAL[key]
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder the cluster names.
+    """Cut lineage: write the frame once as a Parquet table in the shared folder and go on from there.
 
-    The folder comes from ``spark.checkpoint.dir``; a scratch folder is only used by a local session without one.
+    Unlike a checkpointed RDD the plan runs once, and a lost executor costs a file read, not a recomputation.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", "")
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="sitewright-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{stage_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
