@@ -66,8 +66,11 @@ def tm_nn(c, oligo_nm: float = 250.0, na_mm: float = 50.0) -> Column:
     pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(s, i, F.lit(2)))
 
     def total(table, unknown):
-        lookup = literal_map(table)
-        return F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + F.coalesce(lookup[p], F.lit(unknown)))
+        # dinucleotides are looked up by position in a 16-entry array
+        values = F.array(*[F.lit(table[a + b]) for a in "ACGT" for b in "ACGT"])
+        code = lambda p, i: F.instr(F.lit("ACGT"), F.substring(p, i, 1)) - 1
+        at = lambda p: F.when(p.rlike("^[ACGT]{2}$"), code(p, 1) * 4 + code(p, 2))
+        return F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + F.coalesce(F.get(values, at(p)), F.lit(unknown)))
 
     dh = total(NN_ENTHALPY, NN_UNKNOWN[0]) + F.lit(NN_INITIATION[0])
     ds = total(NN_ENTROPY, NN_UNKNOWN[1]) + F.lit(NN_INITIATION[1]) + F.lit(SALT_TERM) * (n - 1) * F.lit(log(na_mm / 1000.0))

@@ -40,11 +40,15 @@ def pick_primers(amplicons: DataFrame, keys: list[str]) -> DataFrame:
         for i, (lo, hi) in enumerate(GC_BANDS):
             cond = F.col("_gc").between(lo, hi)
             band = F.when(cond, i) if band is None else band.when(cond, i)
-        rows = rows.withColumn("_gc", gc("_p")).withColumn("_band", band).filter("_band IS NOT NULL").withColumn("_tm", tm_nn("_p"))
-        order = F.struct("_w", "_band", F.abs(F.col("_tm") - TARGET_TM).alias("d"), "_l")
+        rows = rows.withColumn("_gc", gc("_p")).withColumn("_band", band).filter("_band IS NOT NULL")
+        # the first window and band decide; only their few candidates get a temperature
+        few = rows.groupBy(*keys, "_n", "_w", "_band").agg(F.collect_list(F.struct("_l", "_p", "_gc")).alias("_c"))
+        few = few.groupBy(*keys, "_n").agg(F.min_by(F.struct("_w", "_c"), F.struct("_w", "_band")).alias("x"))
+        few = few.select(*keys, "_n", F.col("x._w").alias("_w"), F.explode("x._c").alias("c")).select(*keys, "_n", "_w", "c.*").withColumn("_tm", tm_nn("_p"))
         at = F.col("_w") if direction == "forward" else F.col("_n") - F.col("_w")
+        order = F.struct(F.abs(F.col("_tm") - TARGET_TM).alias("d"), "_l")
         pick = F.min_by(F.struct(F.col("_p").alias(f"{prefix}_primer"), F.col("_tm").alias(f"{prefix}_tm"), F.col("_gc").alias(f"{prefix}_gc"), at.alias(f"{prefix}_pos")), order)
-        return rows.groupBy(*keys).agg(pick.alias("x")).select(*keys, "x.*")
+        return few.groupBy(*keys).agg(pick.alias("x")).select(*keys, "x.*")
 
     return best("forward", off, "fwd").join(best("reverse", n - off, "rev"), keys)
 

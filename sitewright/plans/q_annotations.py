@@ -128,12 +128,11 @@ def it2(t):
 
 # ---- primers ----
 
-AMP = f"SELECT h.sample, h.qname AS contig, CAST(h.qstart AS INT) AS h_start, CAST(h.qend AS INT) AS h_end, CAST(c.qstart AS INT) AS c_start, CAST(c.qend AS INT) AS c_end, substr(repeat({dna(*[_tagged(p, 'h.tstart*7+h.mapq') for p in 'ABCD'])}, 8), 1, CASE WHEN h.mapq % 9 = 0 THEN 480 ELSE 1000 END) AS seq FROM {{v_paf}} h JOIN {{v_paf}} c ON h.sample = c.sample AND h.qname = c.qname AND h.line_no % 4 = 0 AND c.line_no % 4 = 1"
 _prs = "list_transform(range(1, length(p)), lambda i: substr(p, i, 2))"
 _TM = f"""((list_sum(list_transform({_prs}, lambda z: {_nn(sq.NN_ENTHALPY, -7.5, 'z')})) + 0.2) * 1000.0::DOUBLE / (list_sum(list_transform({_prs}, lambda z: {_nn(sq.NN_ENTROPY, -21.0, 'z')})) - 5.7 + 0.368::DOUBLE * (length(p)-1) * ln(0.05::DOUBLE) + 1.987::DOUBLE * ln(250e-9::DOUBLE/4)) - 273.15)"""
 fragment("o_frame", f"""SELECT *, substr(seq, a+1, b-a) AS amp, at_ - a AS off FROM (SELECT *, CASE WHEN b0 - a < 150 THEN least(n, a+150) ELSE b0 END AS b FROM (SELECT *, CASE WHEN b0-a0 < 150 AND a0 > 0 THEN greatest(0, a0 - (150-(b0-a0))) ELSE a0 END AS a FROM (
     SELECT *, greatest(0, at_-100) AS a0, least(n, at_+100) AS b0 FROM (SELECT *, length(seq) AS n, CASE WHEN h_end <= c_start THEN (h_end+c_start)//2 WHEN c_end <= h_start THEN (c_end+h_start)//2 ELSE (greatest(h_start,c_start)+least(h_end,c_end))//2 END AS at_,
-      CASE WHEN h_end <= c_start THEN 'left' WHEN c_end <= h_start THEN 'right' WHEN h_start < c_start THEN 'left' ELSE 'right' END AS host_region FROM ({AMP}) x) q) w) e) r WHERE b - a >= 150""")
+      CASE WHEN h_end <= c_start THEN 'left' WHEN c_end <= h_start THEN 'right' WHEN h_start < c_start THEN 'left' ELSE 'right' END AS host_region FROM {{v_contig_pairs}} x) q) w) e) r WHERE b - a >= 150""")
 
 
 def _pick_sql(which):
@@ -151,12 +150,12 @@ fragment("o_rev", _pick_sql("r"))
 
 @query("wn15_pick_primers", "SELECT sample, contig, f.x.p AS fwd_primer, round(f.x.tm,4) AS fwd_tm, f.x.gc AS fwd_gc, CAST(f.x.pos AS INTEGER) AS fwd_pos, r.x.p AS rev_primer, round(r.x.tm,4) AS rev_tm, r.x.gc AS rev_gc, CAST(r.x.pos AS INTEGER) AS rev_pos FROM {o_fwd} f JOIN {o_rev} r USING (sample, contig)")
 def wn15(t):
-    rows = pr.pick_primers(pr.frame_amplicons(lines(t, AMP)), ["sample", "contig"])
+    rows = pr.pick_primers(pr.frame_amplicons(t.v_contig_pairs), ["sample", "contig"])
     return rows.withColumns({c: F.round(c, 4) for c in ("fwd_tm", "rev_tm")})
 
 
 @query("wn16_design_amplicons", """SELECT sample, contig, host_region, substr(seq, CAST(a + f.x.pos + 1 AS BIGINT), CAST(r.x.pos - f.x.pos AS BIGINT)) AS amplicon_seq, CAST(r.x.pos - f.x.pos AS INTEGER) AS amplicon_len, CAST(at_ - a - f.x.pos AS INTEGER) AS junction_offset, f.x.p AS fwd_primer, round(f.x.tm,4) AS fwd_tm, f.x.gc AS fwd_gc, r.x.p AS rev_primer, round(r.x.tm,4) AS rev_tm, r.x.gc AS rev_gc
     FROM {o_frame} JOIN {o_fwd} f USING (sample, contig) JOIN {o_rev} r USING (sample, contig)""")
 def wn16(t):
-    rows = pr.design_amplicons(lines(t, AMP), ["sample", "contig"])
+    rows = pr.design_amplicons(t.v_contig_pairs, ["sample", "contig"])
     return rows.withColumns({c: F.round(c, 4) for c in ("fwd_tm", "rev_tm")})

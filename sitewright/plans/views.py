@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from sitewright.session import checkpoint
+
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
         "pages", "benchmark", "labels", "conversations"]
 
@@ -127,6 +129,10 @@ VIEWS = {
     # reference blocks under the gene models: one 1,000 bp block per gene
     "v_gene_ref": f"""SELECT concat('chr', CAST(p_partkey % 5 + 1 AS STRING)) AS chrom, 1 + p_partkey*1000 AS start_pos,
         concat({",".join("repeat(%s, 10)" % _DNA % _tagged(p, 'p_partkey') for p in 'UVWX')}) AS seq FROM {{part}}""",
+    # one host and one construct alignment per contig with the contig text
+    "v_contig_pairs": f"""SELECT h.sample, h.qname AS contig, CAST(h.qstart AS INT) AS h_start, CAST(h.qend AS INT) AS h_end, CAST(c.qstart AS INT) AS c_start, CAST(c.qend AS INT) AS c_end,
+        substr(repeat({dna(*[_tagged(p, 'h.tstart*7+h.mapq') for p in 'ABCD'])}, 8), 1, CASE WHEN h.mapq % 9 = 0 THEN 480 ELSE 1000 END) AS seq
+        FROM {{v_paf}} h JOIN {{v_paf}} c ON h.sample = c.sample AND h.qname = c.qname AND h.line_no % 4 = 0 AND c.line_no % 4 = 1""",
     "v_variants": """SELECT CAST((l_orderkey*10 + l_linenumber)*1000000000 + l_partkey*2000 + l_suppkey AS BIGINT) AS var_id, concat('chr', CAST(l_partkey % 5 + 1 AS STRING)) AS chrom,
         1 + l_partkey*1000 + l_orderkey % 1000 AS pos, substr('ACGT', CAST(l_suppkey % 4 + 1 AS INT), 1) AS alt,
         CASE WHEN l_linenumber % 3 = 0 THEN 'deletion' WHEN l_linenumber % 3 = 1 THEN 'insertion' ELSE 'snv' END AS indel_type,
@@ -145,6 +151,7 @@ def substitute(sql: str, names: dict) -> str:
 
 
 _FEW: dict = {}
+_STAGED: dict = {}
 
 
 def spread(df, name: str):
@@ -160,20 +167,25 @@ def spread(df, name: str):
 
 
 class Tables:
-    """Lazy access to base tables and views of one scale-factor folder."""
+    """Base tables and derived views of one scale-factor folder.
+
+    A derived view is written once per session as a Parquet stage, the form in which alignments, hits and reads
+    reach the operators in practice; all queries of the session read it from there.
+    """
 
     def __init__(self, spark, sf_dir: str):
-        self.spark, self.sf_dir, self._cache = spark, sf_dir, {}
+        self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str):
         if name in BASE:
             return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"), name)
         if name not in VIEWS:
             raise AttributeError(name)
-        if name not in self._cache:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STAGED:
             sql = VIEWS[name]
-            self._cache[name] = self.spark.sql(sql, **{r: getattr(self, r) for r in references(sql)})
-        return self._cache[name]
+            _STAGED[key] = checkpoint(self.spark.sql(sql, **{r: getattr(self, r) for r in references(sql)}))
+        return _STAGED[key]
 
 
 def oracle(sql: str, fragments: dict[str, str]) -> str:

@@ -6,10 +6,16 @@ way in.
 """
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sitewright.functions import src_tag, strip_src_tag
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STAT_METRICS = ["insert_length", "remaining_ns", "assembly_rounds", "status", "verdict"]
 CUSTODY_SCHEMA = ("ts string, sample string, step string, event string, user string, cmd string, input_sha256 map<string,string>, "
                   "output_sha256 map<string,string>, exit_code int, wall_time_sec double")
@@ -84,13 +90,17 @@ def parse_fasta(records: DataFrame) -> DataFrame:
                        F.length("seq").alias("length"))
 
 
-def ref_blocks(seqs: DataFrame, block: int = 1 << 16, overlap: int = 64) -> DataFrame:
-    """Cut long sequences into blocks (0-based ``start_pos``) that run ``overlap`` bases into the next one."""
-    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.length("seq") - 1, F.lit(0)).cast("bigint"),
-                                  F.lit(block).cast("bigint")))
-    rows = seqs.select(F.col("id").alias("chrom"), "seq", starts.alias("start_pos"))
-    return rows.select("chrom", "start_pos", F.lit(block).alias("core_len"), F.substring(
-        "seq", (F.col("start_pos") + 1).cast("int"), F.lit(block + overlap)).alias("seq"))
+def ref_blocks(seqs: DataFrame, block: int = 4096, overlap: int = 64) -> DataFrame:
+    """Cut long sequences into blocks (0-based ``start_pos``) that run ``overlap`` bases into the next one; linear in length."""
+    def cut(batches):
+        for pdf in batches:
+            for name, seq in pdf.itertuples(index=False):
+                at = range(0, max(len(seq), 1), block)
+                for lo in range(0, len(at), 4096):  # a few thousand blocks per output batch
+                    part = at[lo:lo + 4096]
+                    yield pd.DataFrame({"chrom": name, "start_pos": list(part), "core_len": block, "seq": [seq[a:a + block + overlap] for a in part]})
+
+    return seqs.select("id", "seq").mapInPandas(cut, "chrom string, start_pos long, core_len int, seq string")
 
 
 def index_lines(lines: DataFrame) -> DataFrame:
