@@ -9,6 +9,7 @@ from sitewright.functions import (
 from sitewright.functions.sequence import literal_map
 from sitewright.operators.core import TILE, before, bin_join, carry, tile_of
 from sitewright.operators.reference import fetch_ref
+from sitewright.session import checkpoint
 
 SPOT = ["sample", "chrom", "pos"]
 BIN = 1024
@@ -57,11 +58,17 @@ def pileup(events: DataFrame) -> DataFrame:
 
 
 def indel_counts(events: DataFrame, ref: DataFrame) -> DataFrame:
-    """Insertion and deletion sequences per position with their counts and the depth; deleted text comes from the reference."""
-    raw = events.filter(F.col("kind").isin("I", "L")).groupBy(*SPOT, "kind", "len", F.coalesce("text", F.lit("")).alias("text")).agg(F.count(F.lit(1)).alias("cnt"))
+    """Insertion and deletion sequences per position with their counts and the depth; deleted text comes from the reference.
+
+    The reads are walked once: the counted events are a stage from which both the indels and the depth are taken.
+    """
+    base = F.col("kind").isin("B", "D")
+    spectrum = checkpoint(events.groupBy(*SPOT, F.when(base, "B").otherwise(F.col("kind")).alias("kind"), F.when(base, 1).otherwise(F.col("len")).alias("len"),
+                                         F.when(base, "").otherwise(F.coalesce("text", F.lit(""))).alias("text")).agg(F.count(F.lit(1)).alias("cnt")))
+    raw = spectrum.filter("kind <> 'B'")
     wins = raw.select("chrom", "pos", "len").distinct().withColumns({"lo": F.col("pos") - 1, "hi": F.col("pos") + F.col("len")})
     seqs = fetch_ref(wins, ref, ["chrom", "pos", "len"])
-    depth = events.filter(F.col("kind").isin("B", "D")).groupBy(*SPOT).agg(F.count(F.lit(1)).alias("dp"))
+    depth = spectrum.filter("kind = 'B'").select(*SPOT, F.col("cnt").alias("dp"))
     rows = raw.join(seqs, ["chrom", "pos", "len"], "left").join(depth, SPOT, "left")
     deleted = F.col("kind") == "L"
     return rows.select(*SPOT, F.when(deleted, "deletion").otherwise("insertion").alias("indel_type"),

@@ -52,13 +52,16 @@ def softclip_clusters(clips: DataFrame, window: int = 50, min_depth: int = 3) ->
 
 
 def base_votes(seqs: DataFrame, keys: list[str], seq: str, from_end: Column | None = None) -> DataFrame:
-    """Counts per offset and base; ``from_end`` marks rows whose offsets run from the right."""
-    text = F.upper(F.col(seq))
-    rows = seqs.select(*keys, F.length(text).alias("_len"), (from_end if from_end is not None else F.lit(False)).alias("_rev"),
-                       F.posexplode(F.split(text, "")).alias("_i", "base"))
+    """Counts per offset and base; ``from_end`` marks rows whose offsets run from the right.
+
+    Identical texts of a group collapse to one weighted row before their bases are spread out.
+    """
+    rev = from_end if from_end is not None else F.lit(False)
+    texts = seqs.groupBy(*keys, rev.alias("_rev"), F.upper(F.col(seq)).alias("_t")).agg(F.count(F.lit(1)).alias("_w"))
+    rows = texts.select(*keys, F.length("_t").alias("_len"), "_rev", "_w", F.posexplode(F.split("_t", "")).alias("_i", "base"))
     off = F.when(F.col("_rev"), F.col("_len") - 1 - F.col("_i")).otherwise(F.col("_i"))
-    return rows.filter(F.col("base") != "").select(*keys, off.alias("off"), "base").groupBy(*keys, "off", "base").agg(
-        F.count(F.lit(1)).alias("n"))
+    return rows.filter(F.col("base") != "").select(*keys, off.alias("off"), "base", "_w").groupBy(*keys, "off", "base").agg(
+        F.sum("_w").alias("n"))
 
 
 def vote(votes: DataFrame, keys: list[str], min_share: float, min_total: int = 2) -> DataFrame:
@@ -164,7 +167,7 @@ def site_ids(sites: DataFrame, pos: str, order: list[Column]) -> DataFrame:
 def find_clusters(alignments: DataFrame, min_clip: int = 20, window: int = 50, min_depth: int = 3) -> DataFrame:
     """Clusters with consensus.  The alignment table is scanned once: its clipped ends are written out as a stage."""
     clips = checkpoint(soft_clips(alignments, min_clip))
-    return cluster_consensus(clips, softclip_clusters(clips, window, min_depth))
+    return cluster_consensus(clips, checkpoint(softclip_clusters(clips, window, min_depth)))
 
 
 def find_sites(alignments: DataFrame, min_clip: int = 20, window: int = 50, min_depth: int = 3) -> DataFrame:
