@@ -53,8 +53,7 @@ def depth_summary(runs: DataFrame, keys=("sample",)) -> DataFrame:
         F.sum("w").alias("positions"), F.sum(F.when(F.col("depth") > 0, F.col("w")).otherwise(0)).alias("covered"),
         (F.sum(F.col("w") * F.col("depth")) / F.sum("w")).alias("mean_depth"), F.min("depth").alias("min_depth"), F.max("depth").alias("max_depth"))
     med = upper_median(hist, keys, "depth", "w", "median_depth").drop("n")
-    out = base.join(med, keys) if keys else base.crossJoin(med)
-    return out.withColumn("covered_pct", F.col("covered") * 100.0 / F.col("positions"))
+    return base.join(med, keys).withColumn("covered_pct", F.col("covered") * 100.0 / F.col("positions"))
 
 
 def weigh(df: DataFrame) -> DataFrame:

@@ -117,7 +117,7 @@ def in_homology(alignments: DataFrame, regions: DataFrame, slop: int = 500, pos=
     iv = regions.select("chrom", (F.col("start_pos") - slop).alias("_lo"), (F.col("end_pos") + slop).alias("_hi")).distinct()
     mapped = alignments.filter(~flag_is("flag", fl.UNMAPPED))
     return bin_join(mapped, iv, ["chrom"], (p, p), (F.col("_lo"), F.col("_hi")), (p >= F.col("_lo")) & (p <= F.col("_hi")),
-                    width=4096, how="left_semi")
+                    width=4096, how="left_semi", salts=4, salt_on=["qname"])
 
 
 def homology_filter(alignments: DataFrame, regions: DataFrame, slop: int = 500, pos="pos") -> DataFrame:

@@ -239,5 +239,5 @@ def read_site_stats(spark, path):
 
 
 def read_reports(spark, path):
-    lines = spark.read.option("wholetext", True).text(path).withColumn("path", F.col("_metadata.file_path"))
+    lines = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
     return parse_reports(lines)
