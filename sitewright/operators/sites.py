@@ -82,10 +82,16 @@ def _right_aligned(v: str = "_v") -> Column:
     return F.regexp_replace(F.regexp_replace(text, "^N+", ""), "N+$", "")
 
 
-def cluster_consensus(clips: DataFrame, clusters: DataFrame, min_share: float = 0.51) -> DataFrame:
-    """Consensus of each kept cluster; votes are counted per position before they meet their cluster."""
-    votes = base_votes(clips, [*SIDE, "pos"], "clip", F.col("side") == "left")
+def cluster_consensus(clips: DataFrame, clusters: DataFrame, min_share: float = 0.51, salts: int = 8) -> DataFrame:
+    """Consensus of each kept cluster.
+
+    Clips outside kept clusters go first, by a semi-join against the few kept positions (replicated over ``salts``, so that a
+    pile-up at one position is shared); votes are then counted per position before they meet their cluster.
+    """
     member = clusters.select(*SIDE, "anchor", F.explode("positions").alias("pos"))
+    spots = member.select(*SIDE, "pos", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    kept = clips.withColumn("_salt", F.pmod(F.xxhash64("qname"), F.lit(salts)).cast("int")).join(spots, [*SIDE, "pos", "_salt"], "left_semi")
+    votes = base_votes(kept, [*SIDE, "pos"], "clip", F.col("side") == "left")
     joined = votes.join(member, [*SIDE, "pos"]).drop("pos")
     seqs = vote(joined, [*SIDE, "anchor"], min_share)
     cons = F.when(F.col("side") == "right", _prefix()).otherwise(_right_aligned())
