@@ -146,7 +146,8 @@ def cu10b(t):
                                            "reverse_primer_seq", "amplicon_size", "amplicon_seq", "notes")
 
 
-@query("ag37_manifest")
+@query("ag37_manifest", """SELECT CAST(sum(n) AS BIGINT) AS records, md5(string_agg(concat(b,':',n,':',s), ',' ORDER BY concat(b,':',n,':',s))) AS digest FROM (SELECT substr(h,1,3) AS b, count(*) AS n, sum(CAST(concat('0x',substr(h,4,13)) AS BIGINT)) AS s FROM (
+    SELECT md5(concat(header,chr(10),seq)) AS h FROM {v_elements}) x GROUP BY 1) y""")
 def ag37(t):
     return ct.manifest(t.v_elements)
 
