@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitewright.operators.core import bin_join, covered_bp, interval_union
 
-# Fixed value: half-open code lists of the mask rationale.
+# Fixed value: rationale codes of a mask and their notes.
 RATIONALE = {"X-01": "other >=98% identity endogenous (manual curation)"}
 
 

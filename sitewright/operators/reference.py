@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from sitewright.functions import pam_and_type, revcomp
+from sitewright.functions import pam_and_type
 from sitewright.operators.core import bin_join
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -73,6 +73,3 @@ def rank_targets(targets: DataFrame) -> DataFrame:
     """Fewest mismatches first, on-target sites ahead of others."""
     return targets.orderBy("mismatches", F.when(F.col("site_type") == "on-target", 0).otherwise(1))
 
-
-def border_windows(motif: str):
-    return [motif, motif.translate(str.maketrans("ACGT", "TGCA"))[::-1]]

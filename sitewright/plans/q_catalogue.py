@@ -67,8 +67,6 @@ def cu5(t):
 
 
 MASTER = "SELECT p_brand AS element_class, concat('H',CAST(p_partkey AS STRING)) AS header_id, CASE WHEN p_partkey % 3 = 0 THEN 'MANUAL' ELSE 'ACC' END AS accession FROM {part}"
-SEQS = "SELECT concat('H',CAST(ord AS STRING)) AS header_id, seq FROM {v_elements}"
-_M, _F2 = "ord % 2 = 0", "ord % 5 <> 0"
 fragment("o_build", f"""SELECT m.*, CAST(CASE WHEN accession='MANUAL' THEN CASE WHEN ord % 2 = 0 THEN 64 ELSE 0 END ELSE CASE WHEN ord % 5 <> 0 THEN 64 ELSE 0 END END AS INTEGER) AS seq_length, CASE WHEN accession='MANUAL' THEN CASE WHEN ord % 2 = 0 THEN 'OK_MANUAL' ELSE 'MISSING_MANUAL' END ELSE CASE WHEN ord % 5 <> 0 THEN 'OK_NCBI' ELSE 'FAILED_NCBI' END END AS status
     FROM ({MASTER}) m JOIN {{v_elements}} e ON m.header_id = concat('H', e.ord)""")
 

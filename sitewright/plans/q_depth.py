@@ -91,7 +91,6 @@ def ag29(t):
     return dp.candidate_sites(lines(t, STATS))
 
 
-RATIO = "SELECT sample, site_id, host_fraction*3 AS ratio, CAST(n_elements AS BIGINT) AS n, construct_frac*2 AS cm, n_borders*0.4 AS hm FROM {v_evidence}"
 _COPIES = "CASE WHEN ratio < 0.25 THEN round_even(ratio,2) WHEN ratio < 1.25 THEN 1.0 WHEN ratio < 1.75 THEN 2.0 ELSE round_even(ratio,1) END"
 _CLASS = "CASE WHEN ratio < 0.25 THEN 'low-level / mosaic' WHEN ratio < 0.75 THEN 'hemizygous single-copy' WHEN ratio < 1.25 THEN 'homozygous single-copy (or 2 hemizygous copies)' WHEN ratio < 1.75 THEN 'likely 2-3 copies' ELSE concat('multi-copy (~',printf('%.1f',round_even(ratio,1)),'x)') END"
 RATIO_CAST = "SELECT sample, site_id, CAST(host_fraction*3 AS DOUBLE) AS ratio, CAST(n_elements AS BIGINT) AS n, CAST(construct_frac*2 AS DOUBLE) AS cm, CAST(n_borders AS DOUBLE)/2 AS hm FROM {v_evidence}"

@@ -133,7 +133,6 @@ def wn12b(t):
 
 
 # clip queries of the sites: a third of the seeds map to the host, half have element hits
-_HOSTQ = "length(seed) % 3 = 0"
 fragment("o_host_clips", "SELECT sample, concat(site_id,'_5p') AS qname FROM {o_sites} WHERE base % 11 = 0 UNION ALL SELECT sample, concat(site_id,'_3p') FROM {o_sites} WHERE base % 13 = 0")
 fragment("o_element_clips", """SELECT sample, concat(site_id, CASE WHEN has_r AND has_l THEN '_5p' ELSE '_clip' END) AS qname FROM {o_sites} WHERE base % 2 = 0
     UNION ALL SELECT sample, concat(site_id,'_3p') FROM {o_sites} WHERE has_r AND has_l AND base % 5 = 0""")
