@@ -40,3 +40,20 @@ def op7(spark, sf_dir):
 
     return plan_copies(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def word_bpe() -> str:
+    """Text of the tokenizer file; the path is the package's own."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+@query("op5_bpe")
+def op5(spark, sf_dir):
+    from sitewright.llm.bpe import encode
+
+    coded = encode(table(spark, sf_dir, "documents"), word_bpe())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
