@@ -57,3 +57,25 @@ def op5(spark, sf_dir):
     coded = encode(table(spark, sf_dir, "documents"), word_bpe())
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def held_out(n: int, left: int):
+    from sitewright.llm.labels import fold
+
+    return F.coalesce(fold("doc_id", n) == left, F.lit(False)).alias("held_out")
+
+
+@query("op6_toxicity")
+def op6(spark, sf_dir):
+    from sitewright.llm.toxicity import score
+
+    scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(4, 2), "score", "predicted")
+
+
+@query("op8_quality_classifier")
+def op8(spark, sf_dir):
+    from sitewright.llm.quality_classifier import score
+
+    scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(3, 1), "score", "predicted")

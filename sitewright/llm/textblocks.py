@@ -40,21 +40,25 @@ def fold_table() -> np.ndarray:
     return t
 
 
-def space_table() -> np.ndarray:
+def space_table(letters: bool = False) -> np.ndarray:
+    """Bytes between words: white space or, with ``letters``, every ASCII byte that is no letter or digit."""
     t = np.zeros(256, bool)
     t[[9, 10, 11, 12, 13, 32]] = True
+    if letters:
+        t[:128] = True
+        t[48:58] = t[65:91] = t[97:123] = False
     return t
 
 
 class Block:
     """Some texts as one buffer: ``data`` bytes, word ``starts`` and ``ends``, ``first`` word index of every text (one more at the end)."""
 
-    def __init__(self, texts: list[bytes], fold: bool = True):
+    def __init__(self, texts: list[bytes], fold: bool = True, letters: bool = False):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
         data = np.frombuffer(b" ".join(texts) + b" ", np.uint8) if texts else np.zeros(0, np.uint8)
         self.data = fold_table()[data] if fold else data
-        blank = space_table()[self.data]
+        blank = space_table(letters)[self.data]
         edge = np.diff(np.concatenate([[True], blank]).astype(np.int8))
         self.starts = np.flatnonzero(edge == -1)
         self.ends = np.flatnonzero(edge == 1)
