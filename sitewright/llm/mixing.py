@@ -12,6 +12,7 @@ from sitewright.session import checkpoint
 WORD = r"[^\x20\x09-\x0D]+"
 DRAW_BITS = 60
 SLICE_BITS = (48, 36)
+SALTS = 32
 
 
 def word_count(text) -> Column:
@@ -88,15 +89,24 @@ def plan_copies(docs: DataFrame, *, seed: int = 42, share: float = 1.5, max_epoc
     rule = targets.join(cut, F.col("source").eqNullSafe(F.col("_c")), "left").select(
         F.col("source").alias("_source"), "source_size", "target", "whole", F.coalesce("cut", F.lit(1 << DRAW_BITS)).alias("_cut"))
     out = docs.select(own).withColumn("_draw", draw(id_col, seed)).withColumn("size", word_count(F.col(text_col)))
-    out = out.join(rule, F.col(source_col).eqNullSafe(F.col("_source")))
+    out = out.join(_salted(rule), F.col(source_col).eqNullSafe(F.col("_source")) & (_salt("_draw") == F.col("_salt")))
     extra = ((F.col("_draw") < F.col("_cut")) & (F.col("target") > F.col("whole") * F.col("source_size"))).cast("int")
     return out.select(*own, "size", "source_size", "target", (F.col("whole") + extra).alias("copies"))
 
 
+def _salt(draw_col: str) -> Column:
+    return F.pmod(F.col(draw_col), F.lit(SALTS)).cast("int")
+
+
+def _salted(per_source: DataFrame) -> DataFrame:
+    """One row per source and salt, so that a join spreads the documents of a large source over as many tasks."""
+    return per_source.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def _inside(sized: DataFrame, edge: DataFrame, width: int) -> DataFrame:
     """Rows of the slice [low, low + 2**width) of their source."""
-    e = edge.select(F.col("source").alias("_s"), "need", "taken", F.col("low").alias("_low"))
-    inside = (F.col("draw") >= F.col("_low")) & (F.col("draw") < F.col("_low") + F.lit(1 << width))
+    e = _salted(edge.select(F.col("source").alias("_s"), "need", "taken", F.col("low").alias("_low")))
+    inside = (_salt("draw") == F.col("_salt")) & (F.col("draw") >= F.col("_low")) & (F.col("draw") < F.col("_low") + F.lit(1 << width))
     return sized.join(e, F.col("source").eqNullSafe(F.col("_s")) & inside).select("source", "need", "taken", "draw", "size")
 
 
