@@ -79,3 +79,10 @@ def op8(spark, sf_dir):
 
     scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(3, 1), "score", "predicted")
+
+
+@query("op4_language_crf")
+def op4(spark, sf_dir):
+    from sitewright.llm.language_crf import identify
+
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", held_out(3, 1), "lang_pred", "score")
