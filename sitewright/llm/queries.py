@@ -86,3 +86,11 @@ def op4(spark, sf_dir):
     from sitewright.llm.language_crf import identify
 
     return identify(table(spark, sf_dir, "documents")).select("doc_id", held_out(3, 1), "lang_pred", "score")
+
+
+@query("op9_ann_graph")
+def op9(spark, sf_dir):
+    from sitewright.llm.ann_graph import search
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
