@@ -94,3 +94,10 @@ def op9(spark, sf_dir):
 
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query("op1_ngram_join")
+def op1(spark, sf_dir):
+    from sitewright.llm.ngram_join import join_components
+
+    return join_components(table(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id", "class_id")
