@@ -101,3 +101,10 @@ def op1(spark, sf_dir):
     from sitewright.llm.ngram_join import join_components
 
     return join_components(table(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op3_suffix_dedup")
+def op3(spark, sf_dir):
+    from sitewright.llm.suffix_dedup import dedup_digest
+
+    return dedup_digest(table(spark, sf_dir, "documents"))
