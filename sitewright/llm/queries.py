@@ -108,3 +108,41 @@ def op3(spark, sf_dir):
     from sitewright.llm.suffix_dedup import dedup_digest
 
     return dedup_digest(table(spark, sf_dir, "documents"))
+
+
+#: Notices and grants of public licenses.
+LICENSES = [
+    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("gpl-3.0-notice", "This work is licensed under the GNU General Public License, version 3."),
+    ("gpl-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+     "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is "
+     "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+     "FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("apache-2.0-notice", "Licensed under the Apache License, Version 2.0."),
+    ("apache-2.0-header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+     "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to "
+     "in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either "
+     "express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("mit-notice", "Released under the MIT License."),
+    ("mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+     "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+     "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+     "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+     "Software."),
+    ("bsd-grant", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+     "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+     "disclaimer."),
+    ("all-rights-reserved", "All rights reserved."),
+]
+
+
+@query("op10_license_scan")
+def op10(spark, sf_dir):
+    """One row per document and license it holds."""
+    from sitewright.llm.license_scan import scan
+
+    places = scan(table(spark, sf_dir, "documents"), LICENSES)
+    return places.groupBy("doc_id", F.col("template").alias("license")).agg(
+        F.count(F.lit(1)).alias("n_places"), F.min("first_word").alias("first_word"), F.max("containment").alias("containment"))
