@@ -297,6 +297,21 @@ class Join:
         return j.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose document has the smallest id of its component.
+
+    Of rows that share an id one stays; rows without an id all stay.
+    """
+    found = join_components(docs, id_col=id_col, **options).filter("doc_id IS NOT NULL")
+    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("k"))
+    gone = checkpoint(ids.filter("c <> doc_id OR k > 1").select(F.col("doc_id").alias("_gone"), (F.col("c") == F.col("doc_id")).alias("_repeats")))
+    left = docs.join(gone.select("_gone"), F.col(id_col) == F.col("_gone"), "left_anti")
+    if not gone.filter("_repeats").head(1):
+        return left
+    again = docs.join(gone.filter("_repeats"), F.col(id_col) == F.col("_gone"), "left_semi")
+    return left.unionByName(again.dropDuplicates([id_col]))
+
+
 def join_components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id (smallest id with the same set) and component_id.
 

@@ -104,14 +104,9 @@ def fit(x: np.ndarray, y: np.ndarray, share_bad: float, *, pairs: int = MAX_PAIR
     return m
 
 
-def score(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out_fold: int = 1, id_col: str = "doc_id", text_col: str = "text",
-          label: str = "quality", limit: int = MAX_LABELLED, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of every document with ``score`` (0 to 1) and ``predicted`` (1 if the score is 0.5 or more).
-
-    Learns from labels whose id is outside the held-out fold, at most ``limit`` documents; scores every whole text, a null one as an
-    empty one.  Without labels of both classes every document gets the share of label 1, or 0.5 without any.  Repeated rows are scored
-    row by row; an empty table gives an empty result.
-    """
+def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int = 3, held_out_fold: int = 1, id_col: str = "doc_id",
+            text_col: str = "text", label: str = "quality", limit: int = MAX_LABELLED) -> DataFrame:
+    """(_k, score): the kept columns as a struct, and the score."""
     sample, counts = labelled_sample(docs, labels, label, fold(id_col, folds) != held_out_fold, limit, id_col=id_col, text_col=text_col)
     total = sum(counts.values())
     width = features([b""]).shape[1]
@@ -145,5 +140,20 @@ def score(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out_fold:
             s = np.where(np.isnan(s), flat, s)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["_k", "score"])
 
-    out = inner.mapInArrow(rate, T.StructType([T.StructField("_k", where), T.StructField("score", T.DoubleType())]))
-    return out.select("_k.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return inner.mapInArrow(rate, T.StructType([T.StructField("_k", where), T.StructField("score", T.DoubleType())]))
+
+
+def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """doc_id, ``score`` (0 to 1) and ``predicted`` (1 if the score is 0.5 or more) of every document.
+
+    Learns from labels whose id is outside the held-out fold, at most ``limit`` documents; scores every whole text, a null one as an
+    empty one.  Without labels of both classes every document gets the share of label 1, or 0.5 without any.  Repeated rows are scored
+    row by row; an empty table gives an empty result.  Options: ``folds``, ``held_out_fold``, ``id_col``, ``text_col``, ``label``, ``limit``.
+    """
+    key = options.get("id_col", "doc_id")
+    return _scored(docs, labels, [key], **options).select("_k.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``score`` does not reject."""
+    return _scored(docs, labels, docs.columns, **options).filter("score >= 0.5").select("_k.*")

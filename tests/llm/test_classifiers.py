@@ -36,6 +36,9 @@ def test_odd_rows(spark, module, label):
     assert len(got) == len(texts) and all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in got)
     assert len({r.score for r in got if r.doc_id in (5, 6)}) == 1
     assert module.score(docs.limit(0), labels).collect() == []
+    if module is quality_classifier:
+        assert sorted(map(str, module.accepted(docs, labels).collect())) == sorted(
+            str(r) for r, s in zip(docs.collect(), got) if s.predicted)
     bare = module.score(docs, labels.limit(0)).collect()
     assert {r.score for r in bare} == {0.5 if label == "quality" else 0.0}
 
