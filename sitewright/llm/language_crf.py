@@ -244,7 +244,7 @@ def identify(docs: DataFrame, *, folds: int = 3, held_out_fold: int = 1, id_col:
             for i, t in enumerate(texts):
                 part.append((t or "").encode())
                 held += len(part[-1])
-                if held >= 4 << 20 or i == len(texts) - 1:
+                if held >= 2 << 20 or i == len(texts) - 1:
                     if shared:
                         best, share = predict(part, shared.value)
                         lang += [shared.value.labels[x] for x in best]

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitewright.llm.components import components
 from sitewright.llm.textblocks import Block, MULT, blocks, mix, ngram_hashes
@@ -21,7 +21,11 @@ MAX_RANKED = 1 << 17
 #: Ids that may be broadcast to pick texts; more of them are joined by shuffle.
 MAX_SENT_IDS = 1 << 21
 SMALL_BUCKET = 24
-BINS = 16
+BINS = 64
+#: Heads that a node of a large bucket is held against in one round, and rounds at most before all pairs across components.
+HEADS, ROUNDS, MORE_HEADS = 4, 3, 48
+#: Pairs across components, per row of the large buckets, that need no further round.
+PAIRS_PER_ROW = 8
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -49,7 +53,7 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([mix(u).sum(), mix(u * np.uint64(MULT) + np.uint64(1)).sum()], np.uint64).view(np.int64))
 
 
-def frequent_ngrams(texts: DataFrame, n: int, *, limit: int = MAX_RANKED, window: int = 4_000_000, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def frequent_ngrams(texts: DataFrame, n: int, *, limit: int = MAX_RANKED, window: int = 2_000_000, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """The ``limit`` n-grams in most documents and their counts, as far as a window of ``window`` n-grams has them ``least`` times."""
 
     def count(batches):
@@ -139,6 +143,11 @@ def _bucket_pass(percent: int, small: int):
     return run
 
 
+def _size(packed: str) -> Column:
+    """Set size from a packed (position, size)."""
+    return F.col(packed).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 class Join:
     """One run of the join; ``nodes`` (doc_id, n, d1, d2, bins, prefix) is the written table of all documents."""
 
@@ -161,7 +170,7 @@ class Join:
                         at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                         f = np.where(known[at] == s, count[at], 0)
                         order = s[np.lexsort((s, f))]
-                    bins = np.bincount((s.view(np.uint64) >> np.uint64(60)).astype(np.int64), minlength=BINS).astype(np.int32)
+                    bins = np.bincount((s.view(np.uint64) >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.int32)
                     rows.append((i, size, *_digest(s), bins, order[:keep]))
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([
@@ -211,20 +220,23 @@ class Join:
         found = texts.mapInArrow(read, "node long, d1 long, d2 long, set binary")
         return found.dropDuplicates(["node", "d1", "d2"]).select("node", "set") if self._repeats() else found.select("node", "set")
 
-    def verify(self, pairs: DataFrame, sets: DataFrame, measures: DataFrame) -> DataFrame:
-        """Pairs that link, among those not tried before: suffix filter, then the intersection of the sets."""
+    def close(self, pairs: DataFrame, measures: DataFrame) -> DataFrame:
+        """The pairs not seen before that pass the suffix filter: no more can be shared than the smaller count of every hash range."""
         p = self.percent
         pairs = pairs.select("a", "b").distinct()
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = checkpoint(pairs)
         self.tried = pairs if self.tried is None else checkpoint(self.tried.unionByName(pairs))
-        m = measures
-        j = pairs.join(m.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
-        j = j.join(m.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
+        j = pairs.join(measures.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
+        j = j.join(measures.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
         most = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-        j = j.filter((100 + p) * most >= p * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
-        j = j.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
+        return checkpoint(j.filter((100 + p) * most >= p * (F.col("na") + F.col("nb"))).select("a", "b").distinct())
+
+    def verify(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs whose sets are similar enough."""
+        p = self.percent
+        j = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
         j = j.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
 
         def check(batches):
@@ -241,42 +253,65 @@ class Join:
 
     def links(self) -> DataFrame:
         """Verified links (a, b) between nodes that connect exactly what all links connect."""
-        p = self.percent
         reps = self.representatives()
         index = reps.select("node", "n", F.posexplode("prefix").alias("pos", "g"))
         index = index.select("g", (F.shiftleft(F.col("pos").cast("bigint"), 32) + F.col("n")).alias("pn"), "n", "node")
         index = index.repartition("g").sortWithinPartitions("g", "n", "node").select("g", "pn", "node")
-        out = checkpoint(index.mapInArrow(_bucket_pass(p, self.small), "kind int, g long, pn long, a long, b long"))
-        pairs = out.filter("kind = 0").select("a", "b").distinct()
+        out = checkpoint(index.mapInArrow(_bucket_pass(self.percent, self.small), "kind int, g long, pn long, a long, b long"))
         large = out.filter("kind = 1").select("g", "pn", F.col("a").alias("node"))
-        wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct())
-        sets = checkpoint(self.sets(wanted))
-        measures = self.nodes.select(F.col("doc_id").alias("node"), "n", "bins").join(wanted, "node")
         some = bool(large.head(1))
+        pairs = out.filter("kind = 0").select("a", "b")
         if some:
-            pairs = pairs.unionByName(self.heads(large, None, 0))
-        links = checkpoint(self.verify(pairs, sets, measures))
-        for step in (1, 2):
-            if not some:
-                return links
+            pairs = checkpoint(pairs.unionByName(self.first_heads(large)).distinct())
+        ends = lambda x: x.select(F.explode(F.array("a", "b")).alias("node"))
+        met = ends(pairs).unionByName(large.select("node")).distinct()
+        measures = checkpoint(self.nodes.select(F.col("doc_id").alias("node"), "n", "bins").join(met, "node"))
+        near = self.close(pairs, measures)
+        sets = checkpoint(self.sets(checkpoint(ends(near).unionByName(large.select("node")).distinct())))
+        links = checkpoint(self.verify(near, sets))
+        step = 0
+        while some:
             rows = checkpoint(self.open_rows(large, links))
-            some = bool(rows.head(1))
-            if some and step == 1:
-                links = checkpoint(links.unionByName(self.verify(self.heads(large, rows, step), sets, measures)))
-        if some:
-            links = links.unionByName(self.verify(self.across(rows), sets, measures))
+            held = rows.groupBy("g", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("g").agg(
+                F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
+            work = held.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs")).first()
+            if not work["rows"]:
+                break
+            step += 1
+            last = work["pairs"] <= PAIRS_PER_ROW * work["rows"] or step > ROUNDS
+            more = self.across(rows, measures) if last else self.more_heads(rows, step)
+            links = checkpoint(links.unionByName(self.verify(self.close(more, measures), sets)))
+            some = not last
         return links
 
-    def heads(self, large: DataFrame, rows: DataFrame | None, step: int) -> DataFrame:
-        """At most one pair per node of the large buckets: the node and a head of one of its buckets."""
-        p, size = self.percent, F.col("pn").bitwiseAND(F.lit(0xFFFFFFFF))
-        r = (large.withColumn("root", F.lit(0).cast("bigint")) if rows is None else rows).withColumn("n", size)
-        order = F.struct("n", "node", "root") if step == 0 else F.struct(F.xxhash64("root", "g"), F.col("n"), F.col("node"), F.col("root"))
-        head = r.groupBy("g").agg(F.min(order).alias("h")).select("g", F.col("h.n").alias("hn"), F.col("h.node").alias("head"), F.col("h.root").alias("hr"))
-        j = r.join(head, "g").filter(F.col("node") != F.col("head"))
-        j = j.filter((p * F.greatest("n", "hn") <= 100 * F.least("n", "hn")) & (F.lit(rows is None) | (F.col("root") != F.col("hr"))))
-        j = j.groupBy("node").agg(F.min(F.struct("hn", "head")).alias("h"))
-        return j.select(F.least("node", "h.head").alias("a"), F.greatest("node", "h.head").alias("b"))
+    def first_heads(self, large: DataFrame) -> DataFrame:
+        """Up to HEADS pairs per node of the large buckets: the node and heads of its buckets, drawn by seeded hashes."""
+        p = self.percent
+        r = large.withColumn("n", _size("pn"))
+        out = None
+        for k in range(HEADS):
+            rank = F.xxhash64(F.lit(k), F.col("node"))
+            head = r.groupBy("g").agg(F.min(F.struct(rank.alias("rank"), "n", "node")).alias("h")).select(
+                "g", F.col("h.rank").alias("rank"), F.col("h.n").alias("hn"), F.col("h.node").alias("head"))
+            j = r.join(head, "g").filter((F.col("node") != F.col("head")) & (p * F.greatest("n", "hn") <= 100 * F.least("n", "hn")))
+            j = j.groupBy("node").agg(F.min(F.struct("rank", "head")).alias("h"))
+            j = j.select(F.least("node", "h.head").alias("a"), F.greatest("node", "h.head").alias("b"))
+            out = j if out is None else out.unionByName(j)
+        return out
+
+    def more_heads(self, rows: DataFrame, step: int) -> DataFrame:
+        """Pairs of the nodes outside a bucket's largest component with drawn members of that component, one bucket per node."""
+        p = self.percent
+        r = rows.withColumn("n", _size("pn"))
+        top = r.groupBy("g", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("g").agg(F.max(F.struct("m", "root")).alias("t")).select(
+            "g", F.col("t.root").alias("top"))
+        r = r.join(top, "g")
+        out = r.filter("root <> top").groupBy("node").agg(F.min(F.struct(F.xxhash64(F.lit(step), F.col("g")).alias("rank"), "g", "n")).alias("o"))
+        drawn = F.row_number().over(Window.partitionBy("g").orderBy(F.xxhash64(F.lit(step), F.col("node")), "node"))
+        heads = r.filter("root = top").withColumn("k", drawn).filter(F.col("k") <= MORE_HEADS).select(
+            "g", F.col("n").alias("hn"), F.col("node").alias("head"))
+        j = out.select("node", "o.g", "o.n").join(heads, "g").filter(p * F.greatest("n", "hn") <= 100 * F.least("n", "hn"))
+        return j.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
 
     def open_rows(self, large: DataFrame, links: DataFrame) -> DataFrame:
         """Rows (g, pn, node, root) of the large buckets that hold more than one component."""
@@ -285,15 +320,20 @@ class Join:
         mixed = r.groupBy("g").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo <> _hi").select("g")
         return r.join(mixed, "g").select("g", "pn", "node", "root")
 
-    def across(self, rows: DataFrame) -> DataFrame:
-        """All pairs of a bucket whose ends lie in different components and pass the length and positional filters."""
-        p, size = self.percent, lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
-        left = rows.select("g", F.col("pn").alias("p1"), F.col("node").alias("x"), F.col("root").alias("r1"))
-        right = rows.select("g", F.col("pn").alias("p2"), F.col("node").alias("y"), F.col("root").alias("r2"))
-        n1, n2 = size("p1"), size("p2")
-        room = 1 + F.least(n1 - 1 - F.shiftright("p1", 32), n2 - 1 - F.shiftright("p2", 32))
-        j = left.join(right, "g").filter((F.col("r1") < F.col("r2")) & (p * F.greatest(n1, n2) <= 100 * F.least(n1, n2)) & (
-            (100 + p) * room >= p * (n1 + n2)))
+    def across(self, rows: DataFrame, measures: DataFrame) -> DataFrame:
+        """All pairs whose ends share a large bucket, lie in different components and pass the length and suffix filters, each once."""
+        p = self.percent
+        own = rows.groupBy("node").agg(F.collect_set("g").alias("gs")).join(measures.select("node", "bins").dropDuplicates(["node"]), "node") \
+            if not self._repeats() else rows.groupBy("node").agg(F.collect_set("g").alias("gs")).withColumn("bins", F.lit(None).cast("array<int>"))
+        r = rows.join(own, "node")
+        left = r.select("g", F.col("pn").alias("p1"), F.col("node").alias("x"), F.col("root").alias("r1"), F.col("gs").alias("g1"), F.col("bins").alias("b1"))
+        right = r.select(F.col("g").alias("h"), F.col("pn").alias("p2"), F.col("node").alias("y"), F.col("root").alias("r2"), F.col("gs").alias("g2"), F.col("bins").alias("b2"))
+        n1, n2 = _size("p1"), _size("p2")
+        most = F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+        fits = (p * F.greatest(n1, n2) <= 100 * F.least(n1, n2)) & (F.col("r1") < F.col("r2"))
+        first = F.array_min(F.array_intersect("g1", "g2")) == F.col("g")
+        likely = F.coalesce((100 + p) * most >= p * (n1 + n2), F.lit(True))
+        j = left.join(right, (F.col("g") == F.col("h")) & fits & first & likely)
         return j.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 

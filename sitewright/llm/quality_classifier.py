@@ -132,7 +132,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int =
             out, start, held = [], 0, 0
             for i, t in enumerate(texts):
                 held += len(t)
-                if held >= 4 << 20 or i == len(texts) - 1:
+                if held >= 1 << 20 or i == len(texts) - 1:
                     m = model.margin(features(texts[start:i + 1])) if model else np.full(i + 1 - start, np.nan)
                     out.append(1 / (1 + np.exp(-np.clip(m, -30, 30))))
                     start, held = i + 1, 0

@@ -87,7 +87,7 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
-def blocks(batches, size: int = 4 << 20):
+def blocks(batches, size: int = 1 << 20):
     """Regroup the (ids, texts) of Arrow record batches to about ``size`` bytes of text; a null text is empty.
 
     The first column is the id, the second the text; yields (list of ids, list of bytes)."""

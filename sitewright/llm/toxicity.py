@@ -105,7 +105,7 @@ def score(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_out_fold:
             out, start, held = [], 0, 0
             for i, t in enumerate(texts):
                 held += len(t)
-                if held >= 4 << 20 or i == len(texts) - 1:
+                if held >= 1 << 20 or i == len(texts) - 1:
                     part = texts[start:i + 1]
                     if model:
                         owner, at = buckets(Block(part, letters=True))
