@@ -11,9 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TILE = 1 << 20
+#: Columns that tell cohorts apart: reads and calls belong to a sample, reference tables to a host.
+SCOPE = ("sample", "host")
 FOLD_TILE = 4096
 
 
+def scope(*frames: DataFrame) -> list[str]:
+    """The cohort keys that every frame carries; whatever is matched by coordinate is matched within them."""
+    return [c for c in SCOPE if all(c in f.columns for f in frames)]
+
+
 def tile_of(pos, width: int) -> Column:
     pos = F.col(pos) if isinstance(pos, str) else pos
     return F.floor(pos / F.lit(width)).cast("bigint")

@@ -7,7 +7,7 @@ from sitewright.functions import (
     calls as fl, cigar_blocks, flag_is, freq_gt, freq_zygosity, gt_zygosity, is_crispr_candidate, nhej, pam_motif, revcomp, translate_codon,
 )
 from sitewright.functions.sequence import literal_map
-from sitewright.operators.core import TILE, before, bin_join, carry, tile_of
+from sitewright.operators.core import TILE, before, bin_join, carry, scope, tile_of
 from sitewright.operators.reference import fetch_ref
 from sitewright.session import checkpoint
 
@@ -66,10 +66,11 @@ def indel_counts(events: DataFrame, ref: DataFrame) -> DataFrame:
     spectrum = checkpoint(events.groupBy(*SPOT, F.when(base, "B").otherwise(F.col("kind")).alias("kind"), F.when(base, 1).otherwise(F.col("len")).alias("len"),
                                          F.when(base, "").otherwise(F.coalesce("text", F.lit(""))).alias("text")).agg(F.count(F.lit(1)).alias("cnt")))
     raw = spectrum.filter("kind <> 'B'")
-    wins = raw.select("chrom", "pos", "len").distinct().withColumns({"lo": F.col("pos") - 1, "hi": F.col("pos") + F.col("len")})
-    seqs = fetch_ref(wins, ref, ["chrom", "pos", "len"])
+    at = [*scope(raw, ref), "chrom", "pos", "len"]
+    wins = raw.select(*at).distinct().withColumns({"lo": F.col("pos") - 1, "hi": F.col("pos") + F.col("len")})
+    seqs = fetch_ref(wins, ref, at)
     depth = spectrum.filter("kind = 'B'").select(*SPOT, F.col("cnt").alias("dp"))
-    rows = raw.join(seqs, ["chrom", "pos", "len"], "left").join(depth, SPOT, "left")
+    rows = raw.join(seqs, at, "left").join(depth, SPOT, "left")
     deleted = F.col("kind") == "L"
     return rows.select(*SPOT, F.when(deleted, "deletion").otherwise("insertion").alias("indel_type"),
                        F.when(deleted, F.substring("ref_seq", F.lit(2), F.col("len"))).otherwise(F.col("text")).alias("indel_seq"), "cnt",
@@ -101,27 +102,42 @@ def indel_calls(counts: DataFrame, min_freq: float = 0.1) -> DataFrame:
 
 def modification_profile(treat: DataFrame, control: DataFrame, ref: DataFrame, targets: DataFrame, window: int = 30) -> DataFrame:
     """Base frequencies of both pileups and the non-reference share within ``window`` of each cut."""
-    spots = targets.select("chrom", "cut_pos", F.explode(F.sequence(F.greatest(F.lit(1).cast("bigint"), F.col("cut_pos") - window), F.col("cut_pos") + window)).alias("pos"))
-    wins = spots.select("chrom", "pos").distinct().withColumns({"lo": F.col("pos") - 1, "hi": F.col("pos")})
-    base = fetch_ref(wins, ref, ["chrom", "pos"], "ref_base")
-    side = lambda df, tag: df.select("chrom", "pos", *[F.col(b).alias(f"{tag}_{b}") for b in [*BASES, "dp"]])
-    rows = spots.join(side(treat, "t"), ["chrom", "pos"], "left").join(side(control, "c"), ["chrom", "pos"], "left").join(base, ["chrom", "pos"], "left")
+    key = scope(targets, treat, control)
+    at = [*key, "chrom", "pos"]
+    spots = targets.select(*[c for c in scope(targets, ref) if c not in key], *key, "chrom", "cut_pos", F.explode(F.sequence(F.greatest(F.lit(1).cast("bigint"), F.col("cut_pos") - window), F.col("cut_pos") + window)).alias("pos"))
+    there = [*scope(spots, ref), "chrom", "pos"]
+    wins = spots.select(*there).distinct().withColumns({"lo": F.col("pos") - 1, "hi": F.col("pos")})
+    base = fetch_ref(wins, ref, there, "ref_base")
+    side = lambda df, tag: df.select(*at, *[F.col(b).alias(f"{tag}_{b}") for b in [*BASES, "dp"]])
+    rows = spots.join(side(treat, "t"), at, "left").join(side(control, "c"), at, "left").join(base, there, "left")
     n = lambda tag, b: F.coalesce(F.col(f"{tag}_{b}"), F.lit(0))
     floor = lambda tag: F.greatest(n(tag, "dp"), F.lit(1))
     cols = [(n(tag, b) / floor(tag)).alias(f"{tag}_{b.lower()}") for tag in "tc" for b in BASES]
     ref_n = F.coalesce(*[F.when((F.col("ref_base") == b) & F.col("t_dp").isNotNull(), n("t", b)) for b in "ATGC"], F.lit(0))
-    return rows.select("chrom", "cut_pos", "pos", *cols, (1.0 - ref_n / floor("t")).alias("modified"))
+    return rows.select(*key, "chrom", "cut_pos", "pos", *cols, (1.0 - ref_n / floor("t")).alias("modified"))
 
 
 INDEL = ["chrom", "pos", "indel_type", "indel_seq"]
 
 
+def without_control(treat: DataFrame, control: DataFrame, key: list[str]) -> DataFrame:
+    """Treatment rows whose ``key`` no control row has.
+
+    A treatment table with ``control_sample`` is held against the rows of that sample only, one without against all
+    of ``control``; tables with a ``host`` are compared within it.
+    """
+    paired = "control_sample" in treat.columns
+    own = [F.col("sample").alias("control_sample")] if paired else []
+    on = [*(["control_sample"] if paired else []), *[c for c in scope(treat, control) if c == "host"], *key]
+    return treat.join(control.select(*own, *[c for c in on if c != "control_sample"]).distinct(), on, "left_anti")
+
+
 def edits_at_targets(treat: DataFrame, control: DataFrame, targets: DataFrame, window: int = 50, min_size: int = 1) -> DataFrame:
     """Treatment calls near a cut site that the control does not share."""
-    own = treat.join(control.select(*INDEL).distinct(), INDEL, "left_anti").filter(F.col("size") >= min_size)
-    p = F.col("pos")
-    t = targets.select("chrom", "grna_idx", "site_type", "mismatches", "cut_pos", F.greatest(F.lit(1), F.col("cut_pos") - window).alias("_lo"), (F.col("cut_pos") + window).alias("_hi"))
-    hit = bin_join(own, t, ["chrom"], (p, p), (F.col("_lo"), F.col("_hi")), p.between(F.col("_lo"), F.col("_hi")), width=1024)
+    own = without_control(treat, control, INDEL).filter(F.col("size") >= min_size)
+    p, key = F.col("pos"), [*scope(own, targets), "chrom"]
+    t = targets.select(*key, "grna_idx", "site_type", "mismatches", "cut_pos", F.greatest(F.lit(1), F.col("cut_pos") - window).alias("_lo"), (F.col("cut_pos") + window).alias("_hi"))
+    hit = bin_join(own, t, key, (p, p), (F.col("_lo"), F.col("_hi")), p.between(F.col("_lo"), F.col("_hi")), width=1024)
     return hit.drop("_lo", "_hi").withColumn("distance_to_cut", F.abs(p - F.col("cut_pos")))
 
 
@@ -129,33 +145,35 @@ def specific_indels(treat: DataFrame, control: DataFrame, min_size: int = 2) ->
     """Treatment indels whose alleles the control lacks."""
     key = ["chrom", "pos", "ref", "alt"]
     big = F.col("size") >= min_size
-    return treat.filter(big).join(control.filter(big).select(*key).distinct(), key, "left_anti")
+    return without_control(treat.filter(big), control.filter(big), key)
 
 
 def nearest_junction(indels: DataFrame, junctions: DataFrame, tile: int = TILE) -> DataFrame:
     """Nearest junction of the same chromosome per indel position, earlier file row on ties; -1 and empty id when none."""
-    j = junctions.groupBy("chrom", "pos").agg(F.min("line_no").alias("line_no"))
-    marks = j.select("chrom", "pos", F.struct("pos", "line_no").alias("_j")).unionByName(
-        indels.select("chrom", "pos").distinct().withColumn("_j", F.lit(None).cast("struct<pos:bigint,line_no:bigint>")))
+    key = [*scope(indels, junctions), "chrom"]
+    j = junctions.groupBy(*key, "pos").agg(F.min("line_no").alias("line_no"))
+    marks = j.select(*key, "pos", F.struct("pos", "line_no").alias("_j")).unionByName(
+        indels.select(*key, "pos").distinct().withColumn("_j", F.lit(None).cast("struct<pos:bigint,line_no:bigint>")))
     rows = marks.withColumn("_tile", tile_of("pos", tile))
-    w = Window.partitionBy("chrom", "_tile").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
-    v = Window.partitionBy("chrom", "_tile").orderBy("pos").rangeBetween(0, Window.unboundedFollowing)
+    w = Window.partitionBy(*key, "_tile").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
+    v = Window.partitionBy(*key, "_tile").orderBy("pos").rangeBetween(0, Window.unboundedFollowing)
     rows = rows.withColumn("_lo", F.max("_j").over(w)).withColumn("_hi", F.min("_j").over(v))
     after = lambda o: o.rowsBetween(1, Window.unboundedFollowing)
-    rows = carry(rows, ["chrom"], {"_max": F.max("_j"), "_min": F.min("_j")},
+    rows = carry(rows, key, {"_max": F.max("_j"), "_min": F.min("_j")},
                  {"_below": lambda o: F.max("_max").over(before(o)), "_above": lambda o: F.min("_min").over(after(o))})
     lo, hi = F.coalesce("_lo", "_below"), F.coalesce("_hi", "_above")
     near = lambda x: F.when(x.isNotNull(), F.struct(F.abs(F.col("pos") - x["pos"]).alias("d"), x["line_no"].alias("l"), x["pos"].alias("p")))
-    best = rows.filter("_j IS NULL").select("chrom", "pos", F.least(near(lo), near(hi)).alias("_b"))
-    best = best.select("chrom", "pos", F.coalesce("_b.d", F.lit(-1)).alias("distance_to_junction"),
+    best = rows.filter("_j IS NULL").select(*key, "pos", F.least(near(lo), near(hi)).alias("_b"))
+    best = best.select(*key, "pos", F.coalesce("_b.d", F.lit(-1)).alias("distance_to_junction"),
                        F.coalesce(F.concat("chrom", F.lit(":"), F.col("_b.p").cast("string")), F.lit("")).alias("nearest_junction"))
-    return indels.join(best, ["chrom", "pos"])
+    return indels.join(best, [*key, "pos"])
 
 
 def annotate_indels(indels: DataFrame, ref: DataFrame, min_qual: float = 20) -> DataFrame:
     """PAM near the indel, repair signature, candidate flag and genotype zygosity."""
-    wins = indels.select("chrom", "pos").distinct().withColumns({"lo": F.greatest(F.lit(1), F.col("pos") - 8) - 1, "hi": F.col("pos") + 8})
-    rows = indels.join(fetch_ref(wins, ref, ["chrom", "pos"], "_w"), ["chrom", "pos"], "left")
+    at = [*scope(indels, ref), "chrom", "pos"]
+    wins = indels.select(*at).distinct().withColumns({"lo": F.greatest(F.lit(1), F.col("pos") - 8) - 1, "hi": F.col("pos") + 8})
+    rows = indels.join(fetch_ref(wins, ref, at, "_w"), at, "left")
     rows = rows.withColumn("pam_motif", F.coalesce(pam_motif("_w"), F.lit(""))).drop("_w")
     rows = rows.withColumns({"has_pam": F.col("pam_motif") != "", "nhej_signature": nhej("indel_type", "size"), "zygosity": gt_zygosity("gt")})
     return rows.withColumn("crispr_candidate", is_crispr_candidate("has_pam", "nhej_signature", "qual", min_qual))
@@ -174,23 +192,29 @@ def top_candidates(edits: DataFrame, n: int = 20) -> DataFrame:
 
 def gene_models(features: DataFrame) -> DataFrame:
     """One row per gene with its sorted distinct CDS, exon and UTR intervals, children resolved through their transcript."""
-    genes = features.filter("ftype = 'gene'").select("chrom", F.col("id").alias("gene_id"), F.col("start_pos").alias("g_start"), F.col("end_pos").alias("g_end"), "strand")
-    mrna = features.filter("ftype = 'mRNA'").select("chrom", F.col("id").alias("parent"), F.col("parent").alias("_gene")).distinct()
-    kids = features.filter(F.col("ftype").isin("CDS", "exon", "five_prime_UTR", "three_prime_UTR")).join(mrna, ["chrom", "parent"], "left")
-    kids = kids.select("chrom", F.coalesce("_gene", "parent").alias("gene_id"), "ftype", F.struct(F.col("start_pos").alias("s"), F.col("end_pos").alias("e"), F.coalesce("phase", F.lit(0)).alias("ph")).alias("iv"))
+    key = [*scope(features), "chrom"]
+    genes = features.filter("ftype = 'gene'").select(*key, F.col("id").alias("gene_id"), F.col("start_pos").alias("g_start"), F.col("end_pos").alias("g_end"), "strand")
+    mrna = features.filter("ftype = 'mRNA'").select(*key, F.col("id").alias("parent"), F.col("parent").alias("_gene")).distinct()
+    kids = features.filter(F.col("ftype").isin("CDS", "exon", "five_prime_UTR", "three_prime_UTR")).join(mrna, [*key, "parent"], "left")
+    kids = kids.select(*key, F.coalesce("_gene", "parent").alias("gene_id"), "ftype", F.struct(F.col("start_pos").alias("s"), F.col("end_pos").alias("e"), F.coalesce("phase", F.lit(0)).alias("ph")).alias("iv"))
     pick = lambda cond: F.array_sort(F.collect_set(F.when(cond, F.col("iv"))))
     flat = lambda a: F.array_distinct(F.transform(a, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
-    kinds = kids.groupBy("chrom", "gene_id").agg(pick(F.col("ftype") == "CDS").alias("cds"), flat(pick(F.col("ftype") == "exon")).alias("exons"),
+    kinds = kids.groupBy(*key, "gene_id").agg(pick(F.col("ftype") == "CDS").alias("cds"), flat(pick(F.col("ftype") == "exon")).alias("exons"),
                                                 flat(pick(F.endswith("ftype", F.lit("UTR")))).alias("utrs"))
-    out = genes.join(kinds, ["chrom", "gene_id"], "left")
+    out = genes.join(kinds, [*key, "gene_id"], "left")
     empty = {"cds": "array<struct<s:bigint,e:bigint,ph:int>>", "exons": "array<struct<s:bigint,e:bigint>>", "utrs": "array<struct<s:bigint,e:bigint>>"}
     return out.withColumns({c: F.coalesce(F.col(c).cast(t), F.array().cast(t)) for c, t in empty.items()})
 
 
+def _own_models(points: DataFrame, features: DataFrame) -> DataFrame:
+    """Gene models without the cohort keys that ``points`` lacks."""
+    return gene_models(features).drop(*[c for c in scope(features) if c not in points.columns])
+
+
 def gene_context(points: DataFrame, features: DataFrame, flank: int = 10_000) -> DataFrame:
     """Genes within ``flank`` of each region (point_id, chrom, r_start, r_end), with the child intervals that reach into it."""
     lo, hi = F.col("r_start") - flank, F.col("r_end") + flank
-    hit = bin_join(points.withColumns({"_lo": lo, "_hi": hi}), gene_models(features), ["chrom"], (F.col("_lo"), F.col("_hi")), (F.col("g_start"), F.col("g_end")),
+    hit = bin_join(points.withColumns({"_lo": lo, "_hi": hi}), _own_models(points, features), [*scope(points, features), "chrom"], (F.col("_lo"), F.col("_hi")), (F.col("g_start"), F.col("g_end")),
                    (F.col("g_end") >= F.col("_lo")) & (F.col("g_start") <= F.col("_hi")), width=16384)
     near = lambda c: F.filter(c, lambda x: (x["e"] >= F.col("_lo")) & (x["s"] <= F.col("_hi")))
     return hit.withColumns({c: near(c) for c in ("cds", "exons", "utrs")}).drop("_lo", "_hi")
@@ -213,7 +237,8 @@ def junction_location(points: DataFrame, features: DataFrame, flank: int = 10_00
 def cds_context(variants: DataFrame, features: DataFrame) -> DataFrame:
     """Gene of each variant position: one with a CDS hit first, else the first gene; NULLs outside genes."""
     p = F.col("pos")
-    hit = bin_join(variants.select("var_id", "chrom", "pos"), gene_models(features), ["chrom"], (p, p), (F.col("g_start"), F.col("g_end")),
+    own = scope(variants, features)
+    hit = bin_join(variants.select("var_id", *own, "chrom", "pos"), _own_models(variants, features), [*own, "chrom"], (p, p), (F.col("g_start"), F.col("g_end")),
                    p.between(F.col("g_start"), F.col("g_end")), width=16384)
     hit = hit.withColumn("location", location_in_gene("pos"))
     order = F.struct((F.col("location") != "CDS").alias("a"), "g_start", "gene_id")
@@ -263,7 +288,7 @@ def variant_effect(context: DataFrame, ref: DataFrame) -> DataFrame:
     first = F.when(snv & (codon0 + 3 <= n), codon0).when(deletion, idx)
     last = F.when(snv, codon0 + 2).otherwise(F.least(idx + size + 2, n - 1))
     rows = rows.withColumns({"_g0": F.when(valid, genomic(first)), "_g1": F.when(valid & snv, genomic(codon0 + 1)), "_g2": F.when(valid & first.isNotNull(), genomic(last))})
-    wins = rows.filter("_g0 IS NOT NULL").select("var_id", "chrom", (F.least("_g0", "_g2") - 1).alias("lo"), F.greatest("_g0", "_g2").alias("hi"))
+    wins = rows.filter("_g0 IS NOT NULL").select("var_id", *scope(rows, ref), "chrom", (F.least("_g0", "_g2") - 1).alias("lo"), F.greatest("_g0", "_g2").alias("hi"))
     rows = rows.join(fetch_ref(wins, ref, ["var_id"], "_ref"), "var_id", "left")
     base = lambda g: F.substring("_ref", (F.col(g) - F.least("_g0", "_g2") + 1).cast("int"), F.lit(1))
     raw_codon = F.concat(base("_g0"), base("_g1"), base("_g2"))

@@ -5,7 +5,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitewright.operators.core import bin_join, covered_bp, interval_union
+from sitewright.operators.core import bin_join, covered_bp, interval_union, scope
 
 # Fixed value: rationale codes of a mask and their notes.
 RATIONALE = {"X-01": "other >=98% identity endogenous (manual curation)"}
@@ -32,12 +32,13 @@ def _oriented(lo: str, hi: str) -> list[Column]:
 
 def build_mask(hits: DataFrame, min_identity: float = 98, min_len: int = 200) -> DataFrame:
     """Host intervals covered by catalogue elements: strand-normalised, 0-based, touching intervals merged,
-    distinct element names joined by ``;``."""
+    distinct element names joined by ``;``.  Hits with a ``host`` give one mask per host."""
     ok = (F.col("pident") >= min_identity) & (F.col("length") >= min_len)
-    rows = hits.filter(ok).select(F.col("chrom"), (F.least("sstart", "send") - 1).alias("lo"), F.greatest("sstart", "send").alias("hi"), "element", "pident")
-    merged = interval_union(rows, ["chrom"], extra={"names": F.collect_set("element"), "best": F.max("pident")},
+    own = [*(["host"] if "host" in hits.columns else []), "chrom"]
+    rows = hits.filter(ok).select(*own, (F.least("sstart", "send") - 1).alias("lo"), F.greatest("sstart", "send").alias("hi"), "element", "pident")
+    merged = interval_union(rows, own, extra={"names": F.collect_set("element"), "best": F.max("pident")},
                             merge={"names": F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))), "best": F.max("best")})
-    return merged.select("chrom", F.col("lo").alias("start_pos"), F.col("hi").alias("end_pos"), F.array_join("names", ";").alias("name"), F.col("best").alias("identity"))
+    return merged.select(*own, F.col("lo").alias("start_pos"), F.col("hi").alias("end_pos"), F.array_join("names", ";").alias("name"), F.col("best").alias("identity"))
 
 
 def mask_rationale(mask: DataFrame, host: str, code: str = "X-01") -> DataFrame:
@@ -88,14 +89,14 @@ def flanking_regions(hits: DataFrame, min_identity: float = 95, min_len: int = 5
     """Host regions similar to a construct end; ``region_idx`` keeps input order."""
     near = (F.col("qstart") <= edge) | (F.col("qend") >= F.col("qlen") - edge)
     ok = (F.col("pident") >= min_identity) & (F.col("length") >= min_len) & near
-    return hits.filter(ok).select("chrom", *_oriented("sstart", "send"), "region_idx")
+    return hits.filter(ok).select(*scope(hits), "chrom", *_oriented("sstart", "send"), "region_idx")
 
 
 def site_flanking(sites: DataFrame, regions: DataFrame, slop: int = 500) -> DataFrame:
     """First region (input order) whose slop-expanded closed interval holds the site."""
-    p = F.col("site_pos")
-    r = regions.select("chrom", (F.col("lo") - slop).alias("flank_lo"), (F.col("hi") + slop).alias("flank_hi"), "region_idx")
-    hit = bin_join(sites.select(*SITE, F.col("site_chr").alias("chrom"), "site_pos"), r, ["chrom"], (p, p), (F.col("flank_lo"), F.col("flank_hi")),
+    p, own = F.col("site_pos"), scope(sites, regions)
+    r = regions.select(*own, "chrom", (F.col("lo") - slop).alias("flank_lo"), (F.col("hi") + slop).alias("flank_hi"), "region_idx")
+    hit = bin_join(sites.select(*SITE, *[c for c in own if c not in SITE], F.col("site_chr").alias("chrom"), "site_pos"), r, [*own, "chrom"], (p, p), (F.col("flank_lo"), F.col("flank_hi")),
                    (p >= F.col("flank_lo")) & (p <= F.col("flank_hi")), width=4096)
     best = F.min_by(F.struct("chrom", F.col("flank_lo").alias("lo"), F.col("flank_hi").alias("hi")), "region_idx")
     return hit.groupBy(*SITE).agg(best.alias("flanking_hit"))

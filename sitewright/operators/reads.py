@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sitewright.functions import calls as fl, flag_is, revcomp
-from sitewright.operators.core import bin_join
+from sitewright.operators.core import bin_join, scope
 
 
 def primary(alignments: DataFrame) -> DataFrame:
@@ -106,17 +106,17 @@ def read_pool(reads: DataFrame, min_len: int = 20) -> DataFrame:
 
 
 def homologous_regions(paf: DataFrame, min_identity: float = 0.80, min_len: int = 50) -> DataFrame:
-    """Host intervals similar to the construct."""
+    """Host intervals similar to the construct, of the sample or host that the hits belong to."""
     keep = (F.col("identity") >= min_identity) & (F.col("qend") - F.col("qstart") >= min_len)
-    return paf.filter(keep).select(F.col("tname").alias("chrom"), F.col("tstart").alias("start_pos"), F.col("tend").alias("end_pos"))
+    return paf.filter(keep).select(*scope(paf), F.col("tname").alias("chrom"), F.col("tstart").alias("start_pos"), F.col("tend").alias("end_pos"))
 
 
 def in_homology(alignments: DataFrame, regions: DataFrame, slop: int = 500, pos="pos") -> DataFrame:
     """Mapped records whose position lies within ``slop`` of a region (closed ends)."""
-    p = F.col(pos)
-    iv = regions.select("chrom", (F.col("start_pos") - slop).alias("_lo"), (F.col("end_pos") + slop).alias("_hi")).distinct()
+    p, own = F.col(pos), [*scope(alignments, regions), "chrom"]
+    iv = regions.select(*own, (F.col("start_pos") - slop).alias("_lo"), (F.col("end_pos") + slop).alias("_hi")).distinct()
     mapped = alignments.filter(~flag_is("flag", fl.UNMAPPED))
-    return bin_join(mapped, iv, ["chrom"], (p, p), (F.col("_lo"), F.col("_hi")), (p >= F.col("_lo")) & (p <= F.col("_hi")),
+    return bin_join(mapped, iv, own, (p, p), (F.col("_lo"), F.col("_hi")), (p >= F.col("_lo")) & (p <= F.col("_hi")),
                     width=4096, how="left_semi", salts=4, salt_on=["qname"])
 
 

@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from sitewright.functions import pam_and_type
-from sitewright.operators.core import bin_join
+from sitewright.operators.core import bin_join, scope
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -20,10 +20,11 @@ def fetch_ref(windows: DataFrame, ref: DataFrame, keys: list[str], out: str = "r
     Blocks that overlap their successor carry ``core_len``; only the core is used.
     """
     core = F.col("core_len") if "core_len" in ref.columns else F.length("seq")
-    blocks = ref.select("chrom", F.col("start_pos").cast("bigint").alias("_bs"), core.alias("_bl"), F.col("seq").alias("_bseq"))
+    own = [*scope(windows, ref), "chrom"]
+    blocks = ref.select(*own, F.col("start_pos").cast("bigint").alias("_bs"), core.alias("_bl"), F.col("seq").alias("_bseq"))
     blocks = blocks.withColumn("_be", F.col("_bs") + F.least("_bl", F.length("_bseq")))
     lo, hi = F.col("lo"), F.col("hi")
-    hit = bin_join(windows.select(*keys, *([] if "chrom" in keys else ["chrom"]), "lo", "hi"), blocks, ["chrom"], (lo, hi - 1), (F.col("_bs"), F.col("_be") - 1),
+    hit = bin_join(windows.select(*keys, *[c for c in own if c not in keys], "lo", "hi"), blocks, own, (lo, hi - 1), (F.col("_bs"), F.col("_be") - 1),
                    (lo < F.col("_be")) & (hi > F.col("_bs")), width=width)
     a, b = F.greatest(lo, F.col("_bs")), F.least(hi, F.col("_be"))
     piece = F.substring("_bseq", (a - F.col("_bs") + 1).cast("int"), (b - a).cast("int"))
@@ -42,7 +43,8 @@ def grna_sites(ref: DataFrame, grnas: list[str], max_mm: int = 4) -> DataFrame:
     flip = str.maketrans("ACGT", "TGCA")
     patterns = [(i, "+", g) for i, g in guides] + [(i, "-", g.translate(flip)[::-1]) for i, g in guides]
     codes = [(i, s, np.frombuffer(p.encode(), dtype=np.uint8)) for i, s, p in patterns]
-    blocks = ref.select("chrom", F.col("start_pos").cast("bigint").alias("start_pos"),
+    own = [*scope(windows, ref), "chrom"]
+    blocks = ref.select(*own, F.col("start_pos").cast("bigint").alias("start_pos"),
                         (F.col("core_len") if "core_len" in ref.columns else F.length("seq")).cast("bigint").alias("core_len"), F.upper("seq").alias("seq"))
 
     def scan(batches):

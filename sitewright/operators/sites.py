@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sitewright.functions import clip_left_len, clip_right_len, left_clip_seq, right_clip_seq, src_tag, src_tier, strip_src_tag
 from sitewright.functions.names import SRC_TIERS
-from sitewright.operators.core import anchored_clusters, bin_join, islands, tile_of
+from sitewright.operators.core import anchored_clusters, bin_join, islands, scope, tile_of
 from sitewright.operators.reads import primary
 from sitewright.session import checkpoint
 
@@ -229,9 +229,9 @@ def rank_sites(sites: DataFrame) -> DataFrame:
 def apply_mask(sites: DataFrame, bed: DataFrame, keys=("sample", "site_id")) -> DataFrame:
     """Tag sites inside a half-open mask interval with the name of the interval that starts last."""
     rows = sites.withColumn("_pos", F.coalesce(F.nullif("pos_5p", F.lit(0)), F.col("pos_3p")))
-    p = F.col("_pos")
-    iv = bed.select("chrom", F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e"), F.col("name").alias("_name"), F.col("line_no").alias("_line"))
-    hits = bin_join(rows.select(*keys, "chrom", "_pos"), iv, ["chrom"], (p, p), (F.col("_s"), F.col("_e") - 1),
+    p, own = F.col("_pos"), [*scope(rows, bed), "chrom"]
+    iv = bed.select(*own, F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e"), F.col("name").alias("_name"), F.col("line_no").alias("_line"))
+    hits = bin_join(rows.select(*keys, *[c for c in own if c not in keys], "_pos"), iv, own, (p, p), (F.col("_s"), F.col("_e") - 1),
                     (F.col("_s") <= p) & (p < F.col("_e")), width=4096)
     best = hits.groupBy(*keys).agg(F.max_by("_name", F.struct("_s", "_line")).alias("mask_element"))
     out = rows.drop("_pos").join(best, list(keys), "left")
@@ -251,11 +251,12 @@ def host_endogenous(hits: DataFrame) -> DataFrame:
     """Catalogue ids that match the host (T1: 90/50, T2: 75/30 identity/coverage), label of the last such hit."""
     t1 = (F.col("pident") >= 90) & (F.col("qcov") >= 50)
     t2 = (F.col("pident") >= 75) & (F.col("qcov") >= 30)
-    return hits.filter(t1 | t2).groupBy("qseqid").agg(F.max_by(F.when(t1, "T1").otherwise("T2"), "line_no").alias("label"))
+    return hits.filter(t1 | t2).groupBy(*(["host"] if "host" in hits.columns else []), "qseqid").agg(F.max_by(F.when(t1, "T1").otherwise("T2"), "line_no").alias("label"))
 
 
 def drop_endogenous(elements: DataFrame, endogenous: DataFrame, name: str = "qseqid") -> DataFrame:
-    return elements.join(endogenous.select(F.col("qseqid").alias(name)), name, "left_anti")
+    own = scope(elements, endogenous)
+    return elements.join(endogenous.select(*own, F.col("qseqid").alias(name)), [*own, name], "left_anti")
 
 
 def drop_host_clips(best: DataFrame, host_hits: DataFrame, min_identity: float = 95, min_len: int = 30) -> DataFrame:
