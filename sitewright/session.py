@@ -1,6 +1,7 @@
 """Session defaults and lineage cuts."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,7 @@ def stage_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL:

@@ -39,14 +39,14 @@ def _rest(lines: DataFrame) -> list[str]:
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
-    """SAM text: header lines dropped, at least 11 fields, trailing tags as a map."""
+    """SAM text: header lines dropped, at least 11 fields, trailing tags as a map; ``*`` stands for no bases or qualities."""
     rows = _fields(lines, 11, "@")
     tags = F.transform(F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0))), lambda x: F.struct(
         F.substring(x, 1, 2).alias("key"), F.substring(x, F.lit(6), F.length(x)).alias("value")))
     return rows.select(
         *_rest(lines), _f(0).alias("qname"), _f(1, "int").alias("flag"), _f(2).alias("chrom"), _f(3, "bigint").alias("pos"),
         _f(4, "int").alias("mapq"), _f(5).alias("cigar"), _f(6).alias("rnext"), _f(7, "bigint").alias("pnext"),
-        _f(9).alias("seq"), _f(10).alias("qual"), F.map_from_entries(tags).alias("tags"))
+        F.nullif(_f(9), F.lit("*")).alias("seq"), F.nullif(_f(10), F.lit("*")).alias("qual"), F.map_from_entries(tags).alias("tags"))
 
 
 def parse_paf(lines: DataFrame) -> DataFrame:
@@ -103,8 +103,22 @@ def ref_blocks(seqs: DataFrame, block: int = 4096, overlap: int = 64) -> DataFra
     return seqs.select("id", "seq").mapInPandas(cut, "chrom string, start_pos long, core_len int, seq string")
 
 
+def index_file_lines(lines: DataFrame) -> DataFrame:
+    """Lines just read from text files, numbered from 0 within each file (``path``, ``line_no``).
+
+    A task may hold splits of several files in any order, so lines are counted per (file, split start) and the counts
+    are summed along each file.
+    """
+    rows = lines.select(*lines.columns, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+                        F.monotonically_increasing_id().alias("_id"))
+    splits = rows.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_least"))
+    w = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("path", "_block", (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_least")).alias("_shift"))
+    return rows.join(splits, ["path", "_block"]).select(*lines.columns, "path", (F.col("_id") + F.col("_shift")).alias("line_no"))
+
+
 def index_lines(lines: DataFrame) -> DataFrame:
-    """Number lines in file order: row number inside the partition plus the lines of the partitions before it."""
+    """Number lines of one file in order: row number inside the partition plus the lines of the partitions before it."""
     rows = lines.withColumn("_id", F.monotonically_increasing_id())
     part, local = F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local")
     rows = rows.select(*lines.columns, part, local)
@@ -115,9 +129,9 @@ def index_lines(lines: DataFrame) -> DataFrame:
 
 
 def parse_fastq(numbered: DataFrame, mate: int) -> DataFrame:
-    """Four-line records from lines numbered 0, 1, 2, ... in ``line_no``."""
+    """Four-line records from lines numbered 0, 1, 2, ... in ``line_no``, per ``path`` if there is one."""
     slot = F.col("line_no") % 4
-    recs = numbered.groupBy(F.floor(F.col("line_no") / 4).alias("record")).agg(
+    recs = numbered.groupBy(*[c for c in ("path",) if c in numbered.columns], F.floor(F.col("line_no") / 4).alias("record")).agg(
         *[F.max(F.when(slot == i, F.col("value"))).alias(n) for i, n in ((0, "head"), (1, "seq"), (3, "qual"))])
     name = F.regexp_replace(F.regexp_extract("head", r"^@?(\S*)", 1), "/[12]$", "")
     return recs.select(name.alias("qname"), F.lit(mate).alias("mate"), F.upper(F.trim("seq")).alias("seq"), F.trim("qual").alias("qual"))
@@ -145,8 +159,12 @@ def parse_bed(lines: DataFrame) -> DataFrame:
 
 
 def parse_tsv(lines: DataFrame, columns: list[str]) -> DataFrame:
-    """Tab-separated rows with a header line and ``#`` comments; short rows give NULLs."""
-    rows = _fields(lines, 1).filter(_f(0) != columns[0])
+    """Tab-separated rows with a header line and ``#`` comments; short rows give NULLs.
+
+    Only a line that holds all the column names is a header; a row may start with the first of them.
+    """
+    head = F.slice("f", 1, len(columns)) == F.array(*[F.lit(c) for c in columns])
+    rows = _fields(lines, 1).filter(~head)
     return rows.select(*_rest(lines), *[F.nullif(_f(i), F.lit("")).alias(c) for i, c in enumerate(columns)])
 
 
@@ -208,12 +226,14 @@ def read_blast6(spark, path, min_len: int = 30):
 
 
 def read_fasta(spark, path):
-    return parse_fasta(_text(spark, path, lineSep=">"))
+    """Records start at a ``>`` at the start of a line; one inside a header belongs to it."""
+    records = _text(spark, path, lineSep="\n>")
+    return parse_fasta(records.withColumn("value", F.regexp_replace("value", "^\\s*>", "")))
 
 
 def read_fastq(spark, r1, r2):
-    """Both mate files, read and numbered separately; mates share ``qname``."""
-    return parse_fastq(index_lines(_text(spark, r1)), 1).unionByName(parse_fastq(index_lines(_text(spark, r2)), 2))
+    """Both mates' files or folders, every file numbered on its own; mates share ``qname``."""
+    return parse_fastq(index_file_lines(_text(spark, r1)), 1).unionByName(parse_fastq(index_file_lines(_text(spark, r2)), 2))
 
 
 def read_gff3(spark, path):
@@ -225,12 +245,15 @@ def read_bed(spark, path):
 
 
 def read_tsv(spark, path):
+    """Column names from the header line of each file."""
     return spark.read.csv(path, sep="\t", header=True, comment="#")
 
 
 def read_custody(spark, path):
-    lines = index_lines(_text(spark, path)).withColumn("line_no", F.col("line_no") + 1)
-    return parse_custody(lines)
+    """Log files for the audit: ``log_id`` is the file, lines count from 1, ``files`` the digests that count at the event."""
+    lines = index_file_lines(_text(spark, path)).withColumn("line_no", F.col("line_no") + 1).withColumnRenamed("path", "log_id")
+    files = F.when(F.col("event") == "pre", F.col("input_sha256")).when(F.col("event") == "post", F.col("output_sha256"))
+    return parse_custody(lines).withColumn("files", files)
 
 
 def read_site_stats(spark, path):

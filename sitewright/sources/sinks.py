@@ -13,10 +13,13 @@ def write_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple = ("sample",), sort_by: tuple = ()) -> None:
-    """Parquet partitioned by sample, rows sorted inside files so that min/max statistics prune."""
+    """Parquet partitioned by sample, rows sorted inside files so that min/max statistics prune.
+
+    Only the partitions that ``df`` has are replaced; other samples of the table stay.
+    """
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def tier_rows(tiers: DataFrame) -> DataFrame:
