@@ -193,3 +193,16 @@ def test_custody_tiles_agree(spark):
     for check in (cu.custody_monotone, cu.custody_pairs, cu.custody_hashes):
         small, big = check(log, tile=7).collect(), check(log).collect()
         assert sorted(map(str, small)) == sorted(map(str, big)) and small
+
+
+def test_hits_of_two_islands_on_one_diagonal(spark):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    a, b = text(40), text(40)
+    subject = text(30) + a + text(60) + b + text(30)
+    query = a + text(60) + b
+    many = [(f"m{i}", a) for i in range(9)]
+    got = sm.kmer_hits(spark.createDataFrame([("s", "q", query)], "sample string, qseqid string, seq string"),
+                       spark.createDataFrame([("x", subject), *many], "sseqid string, seq string")).collect()
+    assert {(r.qstart, r.qend, r.sstart) for r in got if r.sseqid == "x" and r.strand == "+" and r.pident == 100} == {(1, 40, 31), (101, 140, 131)}
+    assert {r.sseqid for r in got} == {"x", *(m for m, _ in many)}
