@@ -23,7 +23,7 @@ MAX_SENT_IDS = 1 << 21
 SMALL_BUCKET = 24
 BINS = 64
 #: Heads that a node of a large bucket is held against in one round, and rounds at most before all pairs across components.
-HEADS, ROUNDS, MORE_HEADS = 4, 3, 48
+HEADS, ROUNDS, MORE_HEADS = 4, 1, 64
 #: Pairs across components, per row of the large buckets, that need no further round.
 PAIRS_PER_ROW = 8
 
@@ -288,16 +288,13 @@ class Join:
         """Up to HEADS pairs per node of the large buckets: the node and heads of its buckets, drawn by seeded hashes."""
         p = self.percent
         r = large.withColumn("n", _size("pn"))
-        out = None
-        for k in range(HEADS):
-            rank = F.xxhash64(F.lit(k), F.col("node"))
-            head = r.groupBy("g").agg(F.min(F.struct(rank.alias("rank"), "n", "node")).alias("h")).select(
-                "g", F.col("h.rank").alias("rank"), F.col("h.n").alias("hn"), F.col("h.node").alias("head"))
-            j = r.join(head, "g").filter((F.col("node") != F.col("head")) & (p * F.greatest("n", "hn") <= 100 * F.least("n", "hn")))
-            j = j.groupBy("node").agg(F.min(F.struct("rank", "head")).alias("h"))
-            j = j.select(F.least("node", "h.head").alias("a"), F.greatest("node", "h.head").alias("b"))
-            out = j if out is None else out.unionByName(j)
-        return out
+        rank = lambda k: F.xxhash64(F.lit(k), F.col("node"))
+        heads = r.groupBy("g").agg(F.array(*[F.min(F.struct(rank(k).alias("rank"), F.lit(k).alias("k"), F.col("n").alias("hn"), F.col("node").alias(
+            "head"))) for k in range(HEADS)]).alias("h"))
+        j = r.join(heads, "g").select("node", "n", F.explode("h").alias("h")).select("node", "n", "h.*")
+        j = j.filter((F.col("node") != F.col("head")) & (p * F.greatest("n", "hn") <= 100 * F.least("n", "hn")))
+        j = j.groupBy("node", "k").agg(F.min(F.struct("rank", "head")).alias("h"))
+        return j.select(F.least("node", "h.head").alias("a"), F.greatest("node", "h.head").alias("b"))
 
     def more_heads(self, rows: DataFrame, step: int) -> DataFrame:
         """Pairs of the nodes outside a bucket's largest component with drawn members of that component, one bucket per node."""

@@ -23,6 +23,8 @@ GRAM = 64
 #: An anchor with more stretches than FREQUENT has them cut into runs of RUN starts.
 FREQUENT = 128
 RUN = 16
+#: An anchor with more than one in HOT_SHARE of the repeated stretches is joined by broadcast.
+HOT_SHARE = 1000
 BATCH = 2 << 20
 #: String starts that are looked at together in a very long text.
 PART = 1 << 23
@@ -104,8 +106,12 @@ def removals(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, frequen
     # one row per distinct text; a row that repeats id and text stays, which only adds work
     own = found.join(classes.select("h1", "h2", F.col("rep.doc_id").alias("_rep")), ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("_rep")))
     own = checkpoint(own.select("h1", "h2", F.explode(F.arrays_zip("anchor", "at", "lo", "hi")).alias("s")).select("h1", "h2", "s.*"))
-    again = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    per_text = own.join(again, "anchor").groupBy("h1", "h2").agg(F.collect_list(F.struct("anchor", "at", "lo", "hi", "n")).alias("s"))
+    again = checkpoint(own.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # fewer than HOT_SHARE anchors can each hold more than that share of all stretches
+    total = again.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    hot = F.broadcast(again.filter(F.col("n") * HOT_SHARE > total))
+    counted = own.join(hot, "anchor").unionByName(own.join(hot.select("anchor"), "anchor", "left_anti").join(again, "anchor"))
+    per_text = counted.groupBy("h1", "h2").agg(F.collect_list(F.struct("anchor", "at", "lo", "hi", "n")).alias("s"))
     per_text = classes.filter("copies > 1").select("h1", "h2", "copies").join(per_text, ["h1", "h2"], "full").withColumn(
         "copies", F.coalesce("copies", F.lit(1)))
     some = per_text.join(classes.select("h1", "h2", F.col("rep.doc_id").alias("_rep")), ["h1", "h2"])
