@@ -21,6 +21,8 @@ MAX_RANKED = 1 << 17
 #: Ids that may be broadcast to pick texts; more of them are joined by shuffle.
 MAX_SENT_IDS = 1 << 21
 SMALL_BUCKET = 24
+#: Rows of one family of large buckets that are paired in one task.
+TILE_ROWS = 400000
 BINS = 64
 #: Heads that a node of a large bucket is held against in one round, and rounds at most before all pairs across components.
 HEADS, ROUNDS, MORE_HEADS = 4, 1, 64
@@ -148,6 +150,74 @@ def _size(packed: str) -> Column:
     return F.col(packed).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
+def _tile_pairs(percent, size, bins, gx, x, rx, gy, y, ry):
+    """Pairs (x, y) of nodes that share a bucket, differ in root and pass the filters; sizes and bins by node number."""
+    xs, xi = np.unique(x, return_inverse=True)
+    ys, yi = np.unique(y, return_inverse=True)
+    root_x, root_y = np.zeros(len(xs), np.int64), np.zeros(len(ys), np.int64)
+    root_x[xi], root_y[yi] = rx, ry
+    cut_x = np.searchsorted(xi[np.argsort(xi, kind="stable")], np.arange(len(xs) + 1))
+    by_x = np.argsort(xi, kind="stable")
+    a, b = [], []
+    for k in range(len(xs)):
+        mine = gx[by_x[cut_x[k]:cut_x[k + 1]]]
+        lo, hi = np.searchsorted(gy, mine, "left"), np.searchsorted(gy, mine, "right")
+        seen = np.unique(np.concatenate([yi[p:q] for p, q in zip(lo, hi)]))
+        n, m = size[xs[k]], size[ys[seen]]
+        ok = (root_y[seen] != root_x[k]) & (percent * np.maximum(n, m) <= 100 * np.minimum(n, m))
+        seen, m = seen[ok], m[ok]
+        most = np.minimum(bins[xs[k]], bins[ys[seen]]).sum(1)
+        seen = seen[(100 + percent) * most >= percent * (n + m)]
+        a.append(np.full(len(seen), xs[k]))
+        b.append(ys[seen])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _tile_pass(percent: int):
+    """Rows (top, i, j, kind, g, node, root, bins) ordered by tile, kind and g to pairs: kind 0 gives a node's set size and bins, kind 1
+    the ends outside the largest component, kind 2 the members."""
+
+    def settle(t):
+        kind, g, node, root, bins = t
+        if not (kind == 1).any():
+            return
+        ids, at = np.unique(node, return_inverse=True)
+        size = np.zeros(len(ids), np.int64)
+        count = np.zeros((len(ids), BINS), np.int64)
+        info = kind == 0
+        size[at[info]] = root[info]
+        count[at[info]] = bins
+        x, y = kind == 1, kind == 2
+        a, b = _tile_pairs(percent, size, count, g[x], at[x], root[x], g[y], at[y], root[y])
+        a, b = ids[a], ids[b]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
+    def run(batches):
+        held, counts, now = [], [], None
+
+        def close():
+            return settle([*(np.concatenate(c) for c in zip(*held)), np.array(counts, np.int32).reshape(-1, BINS)])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tile = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)])
+            kind = batch.column(3).to_numpy()
+            g, node, root = (batch.column(k).fill_null(0).to_numpy(zero_copy_only=False) for k in (4, 5, 6))
+            start = np.flatnonzero(np.concatenate([[True], (tile[:, 1:] != tile[:, :-1]).any(0)]))
+            for lo, hi in zip(start, np.append(start[1:], batch.num_rows)):
+                if now is not None and tuple(tile[:, lo]) != now:
+                    yield from close()
+                    held, counts = [], []
+                now = tuple(tile[:, lo])
+                held.append([c[lo:hi] for c in (kind, g, node, root)])
+                counts += [batch.column(7)[int(i)].as_py() for i in lo + np.flatnonzero(kind[lo:hi] == 0)]
+        if held:
+            yield from close()
+
+    return run
+
+
 class Join:
     """One run of the join; ``nodes`` (doc_id, n, d1, d2, bins, prefix) is the written table of all documents."""
 
@@ -318,20 +388,30 @@ class Join:
         return r.join(mixed, "g").select("g", "pn", "node", "root")
 
     def across(self, rows: DataFrame, measures: DataFrame) -> DataFrame:
-        """All pairs whose ends share a large bucket, lie in different components and pass the length and suffix filters, each once."""
-        p = self.percent
-        own = rows.groupBy("node").agg(F.collect_set("g").alias("gs")).join(measures.select("node", "bins").dropDuplicates(["node"]), "node") \
-            if not self._repeats() else rows.groupBy("node").agg(F.collect_set("g").alias("gs")).withColumn("bins", F.lit(None).cast("array<int>"))
-        r = rows.join(own, "node")
-        left = r.select("g", F.col("pn").alias("p1"), F.col("node").alias("x"), F.col("root").alias("r1"), F.col("gs").alias("g1"), F.col("bins").alias("b1"))
-        right = r.select(F.col("g").alias("h"), F.col("pn").alias("p2"), F.col("node").alias("y"), F.col("root").alias("r2"), F.col("gs").alias("g2"), F.col("bins").alias("b2"))
-        n1, n2 = _size("p1"), _size("p2")
-        most = F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-        fits = (p * F.greatest(n1, n2) <= 100 * F.least(n1, n2)) & (F.col("r1") < F.col("r2"))
-        first = F.array_min(F.array_intersect("g1", "g2")) == F.col("g")
-        likely = F.coalesce((100 + p) * most >= p * (n1 + n2), F.lit(True))
-        j = left.join(right, (F.col("g") == F.col("h")) & fits & first & likely)
-        return j.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        """All pairs whose ends share a large bucket, lie in different components and pass the length and suffix filters.
+
+        Where ids repeat, a node has several sizes and only the full sets decide.
+        Buckets with the same largest component are a family.  Every such pair has an end outside that component, so a task holds
+        those ends and the family's members, each node once; a large family is cut into tiles of both.
+        """
+        keys = ["top", "i", "j"]
+        top = rows.groupBy("g", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("g").agg(F.max(F.struct("m", "root")).alias("t")).select(
+            "g", F.col("t.root").alias("top"))
+        r = checkpoint(rows.join(top, "g").select("top", "g", "node", "root"))
+        tiles = r.groupBy("top").agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("t"))
+        r = r.join(tiles, "top")
+        own = F.pmod(F.xxhash64("node"), F.col("t")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col("t") - 1))
+        none = F.lit(None).cast("bigint")
+        left = r.filter("root <> top").withColumn("i", own).withColumn("j", every).withColumn("kind", F.lit(1))
+        right = r.withColumn("j", own).withColumn("i", every).withColumn("kind", F.lit(2))
+        cols = [*keys, "kind", "g", "node", "root"]
+        both = left.select(cols).unionByName(right.select(cols))
+        about = both.select(*keys, "node").distinct().join(measures.select("node", F.col("n").alias("root"), "bins"), "node")
+        about = about.withColumn("kind", F.lit(0)).withColumn("g", none)
+        both = both.withColumn("bins", F.lit(None).cast("array<int>")).unionByName(about.select(*cols, "bins"))
+        dealt = both.repartition(*keys).sortWithinPartitions(*keys, "kind", "g").select(*cols, "bins")
+        return dealt.mapInArrow(_tile_pass(0 if self._repeats() else self.percent), "a long, b long").distinct()
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
