@@ -206,3 +206,19 @@ def test_hits_of_two_islands_on_one_diagonal(spark):
                        spark.createDataFrame([("x", subject), *many], "sseqid string, seq string")).collect()
     assert {(r.qstart, r.qend, r.sstart) for r in got if r.sseqid == "x" and r.strand == "+" and r.pident == 100} == {(1, 40, 31), (101, 140, 131)}
     assert {r.sseqid for r in got} == {"x", *(m for m, _ in many)}
+
+
+def test_a_chain_is_no_cluster(spark):
+    rng = random.Random(9)
+    text = "".join(rng.choice("ACGT") for _ in range(3000))
+    rows = [(i, text[20 * i:20 * i + 1000 - i]) for i in range(40)]
+    got = {r.id: r.representative for r in ct.cluster_sequences(spark.createDataFrame(rows, "id long, seq string")).collect()}
+    marks = {i: {s[j:j + 12] for j in range(len(s) - 11)} for i, s in rows}
+    alike = lambda a, b: (len(marks[a] & marks[b]) / len(marks[a])) ** (1 / 12) >= 0.95
+    reps = []
+    for i, s in rows:  # longest first
+        cover = [r for r in reps if alike(i, r)]
+        if not cover:
+            reps.append(i)
+        assert got[i] == (cover[0] if cover else i)
+    assert len(reps) > 1
