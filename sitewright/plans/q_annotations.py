@@ -51,7 +51,7 @@ def wn8(t):
     return an.cassettes(an.filter_overlaps(lines(t, ELEMENTS))).withColumn("cds", F.array_join("cds", ","))
 
 
-JUNC = "SELECT sample, tname AS chrom, tstart*150 AS pos, line_no FROM {v_paf} WHERE tp = 'P' AND mapq % 3 = 0"
+JUNC = "SELECT sample, tname AS chrom, tstart*150 AS pos, line_no FROM {v_paf} WHERE tp = 'P'"
 
 
 @query("rj11_pair_junctions", f"""SELECT sample, chrom, a AS pos_5p, b AS pos_3p, concat('insertion_',chrom,'_',a,CASE WHEN k > 1 THEN concat('_',k) ELSE '' END) AS site_id FROM (SELECT *, row_number() OVER (PARTITION BY sample, chrom, a ORDER BY b DESC) AS k FROM (
@@ -64,7 +64,7 @@ def rj11(t):
 # ---- similarity ----
 
 _BASE = dna(*[_tagged(p, "s_suppkey % 499") for p in "ABCD"])
-CONTIGS = f"SELECT s.sample, {_BASE} AS seq FROM {{supplier}} CROSS JOIN (SELECT 's0' AS sample UNION ALL SELECT 's1' AS sample) s WHERE s_suppkey % 3 = 0"
+CONTIGS = f"SELECT s.sample, {_BASE} AS seq FROM {{supplier}} CROSS JOIN (SELECT 's0' AS sample UNION ALL SELECT 's1' AS sample) s"
 PAIRS = "SELECT a.sample, a.qname, a.seq AS r1, b.seq AS r2 FROM {v_reads} a JOIN {v_reads} b ON a.sample = b.sample AND a.qname = b.qname AND a.mate = 1 AND b.mate = 2"
 _RC = "reverse(translate({c},'ACGT','TGCA'))"
 

@@ -26,7 +26,7 @@ def ag20(t):
     return ed.pileup(ed.pileup_events(t.v_alignments))
 
 
-CUTS = "SELECT chrom, site_pos + loc % 7 AS cut_pos, site_pos + loc % 7 - 30 AS lo, site_pos + loc % 7 + 30 AS hi FROM {v_loci} WHERE loc % 3 = 0"
+CUTS = "SELECT chrom, site_pos + loc % 7 AS cut_pos, site_pos + loc % 7 - 30 AS lo, site_pos + loc % 7 + 30 AS hi FROM {v_loci}"
 
 
 @query("ag20_pileup_regions", f"SELECT p.* FROM {{o_pileup}} p JOIN ({CUTS}) c ON c.chrom = p.chrom AND p.pos BETWEEN lo AND hi")

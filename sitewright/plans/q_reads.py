@@ -69,11 +69,11 @@ def io5(t):
 
 # one long line block per read pair file: four numbered lines per record
 FASTQ = """SELECT r.rec*4 + s.i AS line_no, CASE s.i WHEN 0 THEN concat('@',r.name,'/1 x') WHEN 1 THEN lower(r.seq) WHEN 2 THEN '+' ELSE r.qual END AS value
-    FROM (SELECT p_partkey AS rec, concat('r',CAST(p_partkey AS STRING)) AS name, substr(seq,1,50) AS seq, repeat('F',50) AS qual FROM {part} JOIN {v_elements} ON ord = p_partkey) r
+    FROM (SELECT p_partkey AS rec, concat('r',CAST(p_partkey AS STRING)) AS name, seq, repeat('F',CAST(length(seq) AS INT)) AS qual FROM {part} JOIN {v_elements} ON ord = p_partkey) r
     CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 AS i UNION ALL SELECT 2 AS i UNION ALL SELECT 3 AS i) s"""
 
 
-@query("io6_fastq", "SELECT concat('r',ord) AS qname, 1 AS mate, substr(seq,1,50) AS seq, repeat('F',50) AS qual FROM {v_elements}")
+@query("io6_fastq", "SELECT concat('r',ord) AS qname, 1 AS mate, seq, repeat('F',CAST(length(seq) AS INT)) AS qual FROM {v_elements}")
 def io6(t):
     return io.parse_fastq(lines(t, FASTQ), 1)
 

@@ -41,7 +41,7 @@ def ag26(t):
     return rp.truth_baseline(t.v_alignments, lines(t, TRUTH))
 
 
-KEYED = "SELECT sample, chrom, pos + 3 AS position, CASE WHEN pos % 2 = 0 THEN '5p' ELSE '3p' END AS end_tag, site_id AS element, CAST(90 + pos % 10 AS DOUBLE) AS identity, pos % 60 AS aln_len FROM {v_sites} WHERE pos % 3 = 0"
+KEYED = "SELECT sample, chrom, pos + 3 AS position, CASE WHEN pos % 2 = 0 THEN '5p' ELSE '3p' END AS end_tag, site_id AS element, CAST(90 + pos % 10 AS DOUBLE) AS identity, pos % 60 AS aln_len FROM {v_sites}"
 
 
 @query("ag26_baseline_flags", f"""SELECT b.sample, b.chrom, b.position, e5.element IS NOT NULL AS element_hit_5p, coalesce(e5.element,'-') AS element_id_5p, coalesce(e5.identity,0) AS element_identity_5p, coalesce(e5.aln_len,0) AS element_aln_len_5p, e3.element IS NOT NULL AS element_hit_3p, coalesce(e3.element,'-') AS element_id_3p,
