@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR picks the data folder, BENCH_CPUS the local cores.  Every query is run to its last row through the noop
-sink; derived input views are staged before the clock starts.
+sink; the total includes the staging of the derived input views.
 """
 from __future__ import annotations
 
@@ -50,7 +50,7 @@ def main() -> None:
         queries[name](spark, sf).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - start, 3)
     spark.stop()
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": Path(sf).name,
+    print(json.dumps({"metric": "headline_total", "value": round(staging + sum(times.values()), 3), "unit": "sec", "queries": times, "sf": Path(sf).name,
                       "staging_sec": round(staging, 3), "cpus": int(cpus)}))
 
 
