@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sitewright.plans import catalog
 from sitewright.plans.views import BASE
 
 IDS = """io1 io2 io3 io4 io5 io6 io7 io8 io9 io10 io11 io12 io13 io14 sc1 sc2 sc3 sc4 sc5 sc6 sc7 sc8 sc9 sc10 sc11 sc12 sc13 sc14 sc15 sc16 sc17 sc18 sc19 sc20
@@ -23,7 +24,7 @@ def test_every_operator_has_a_query():
 
 
 def test_oracles_belong_to_queries():
-    names, oracles = set(entry.queries()), set(entry.oracle_sql())
+    names, oracles = set(catalog.queries()), set(catalog.oracle_sql())
     assert oracles <= names and names - oracles <= {"it2_extend_seeds", "cu4_cluster_sequences"}
 
 
