@@ -25,7 +25,7 @@ SMALL_BUCKET = 24
 TILE_ROWS = 400000
 BINS = 64
 #: Heads that a node of a large bucket is held against in one round, and rounds at most before all pairs across components.
-HEADS, ROUNDS, MORE_HEADS = 4, 1, 64
+HEADS, ROUNDS, MORE_HEADS = 2, 1, 64
 #: Pairs across components, per row of the large buckets, that need no further round.
 PAIRS_PER_ROW = 8
 
@@ -56,7 +56,7 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def frequent_ngrams(texts: DataFrame, n: int, *, limit: int = MAX_RANKED, window: int = 2_000_000, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """The ``limit`` n-grams in most documents and their counts, as far as a window of ``window`` n-grams has them ``least`` times."""
+    """At most ``limit`` n-grams in most documents and their counts, as far as a window of ``window`` n-grams has them ``least`` times."""
 
     def count(batches):
         kept, held, seen = [], 0, set()
@@ -78,14 +78,23 @@ def frequent_ngrams(texts: DataFrame, n: int, *, limit: int = MAX_RANKED, window
         if kept:
             yield flush()
 
-    top = texts.mapInArrow(count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "g").limit(limit).toPandas()
+    seen = checkpoint(texts.mapInArrow(count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).withColumn(
+        "level", F.floor(8 * F.log2("c")).cast("int")))
+    # the lowest level from which on no more than ``limit`` n-grams are left; there are some hundred levels
+    held, lowest = 0, None
+    for r in sorted(seen.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["level"]):
+        held += r["n"]
+        if held > limit:
+            break
+        lowest = r["level"]
+    top = seen.filter(F.col("level") >= (lowest if lowest is not None else 1 << 30)).select("g", "c").toPandas()
     order = np.argsort(top["g"].to_numpy(np.int64))
     return top["g"].to_numpy(np.int64)[order], top["c"].to_numpy(np.int64)[order]
 
 
 def _pairs(g, pn, node, percent):
     """Pairs of rows of one bucket (equal g, rows ordered by set size) that pass the length and the positional filter."""
-    size, pos = pn & 0xFFFFFFFF, pn >> 32
+    size, pos = pn >> 32, pn & 0xFFFFFFFF
     a, b = [], []
     for d in range(1, len(g)):
         same = np.flatnonzero(g[d:] == g[:-d])
@@ -146,8 +155,8 @@ def _bucket_pass(percent: int, small: int):
 
 
 def _size(packed: str) -> Column:
-    """Set size from a packed (position, size)."""
-    return F.col(packed).bitwiseAND(F.lit(0xFFFFFFFF))
+    """Set size from a packed (size, position)."""
+    return F.shiftright(packed, 32)
 
 
 def _tile_pairs(percent, size, bins, gx, x, rx, gy, y, ry):
@@ -254,9 +263,16 @@ class Join:
         self.tried = self.repeats = None
 
     def representatives(self) -> DataFrame:
+        """(node, n, prefix) of one document per class."""
+        if not self._repeats():
+            keys = ["n", "d1", "d2"]
+            copies = checkpoint(self.nodes.select("doc_id", *keys).join(self.classes, keys).filter("doc_id <> node").select("doc_id"))
+            if copies.count() <= MAX_SENT_IDS:
+                rest = self.nodes.filter("n > 0 AND doc_id IS NOT NULL").join(F.broadcast(copies), "doc_id", "left_anti")
+                return rest.select(F.col("doc_id").alias("node"), "n", "prefix")
         on = [*(F.col(f"c.{k}") == F.col(f"x.{k}") for k in ("n", "d1", "d2")), F.col("c.node") == F.col("x.doc_id")]
-        reps = self.classes.alias("c").join(self.nodes.alias("x"), on).select("node", "x.n", "bins", "prefix")
-        return reps.dropDuplicates(["node", "n", "bins"]) if self._repeats() else reps
+        reps = self.classes.alias("c").join(self.nodes.alias("x"), on).select("node", "x.n", "prefix", "x.d1", "x.d2")
+        return (reps.dropDuplicates(["node", "n", "d1", "d2"]) if self._repeats() else reps).select("node", "n", "prefix")
 
     def _repeats(self) -> bool:
         """Whether any id has several rows."""
@@ -325,8 +341,8 @@ class Join:
         """Verified links (a, b) between nodes that connect exactly what all links connect."""
         reps = self.representatives()
         index = reps.select("node", "n", F.posexplode("prefix").alias("pos", "g"))
-        index = index.select("g", (F.shiftleft(F.col("pos").cast("bigint"), 32) + F.col("n")).alias("pn"), "n", "node")
-        index = index.repartition("g").sortWithinPartitions("g", "n", "node").select("g", "pn", "node")
+        index = index.select("g", (F.shiftleft("n", 32) + F.col("pos")).alias("pn"), "node")
+        index = index.repartition("g").sortWithinPartitions("g", "pn", "node")
         out = checkpoint(index.mapInArrow(_bucket_pass(self.percent, self.small), "kind int, g long, pn long, a long, b long"))
         large = out.filter("kind = 1").select("g", "pn", F.col("a").alias("node"))
         some = bool(large.head(1))
