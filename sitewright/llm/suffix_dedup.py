@@ -2,7 +2,7 @@
 
 Every string of LENGTH bytes has one anchor: the GRAM-byte string inside it with the smallest hash, the leftmost if there are several.
 Equal strings have equal anchors, so only stretches whose anchor occurs elsewhere can repeat, and strings need comparing only under one
-anchor.  Stretches are dealt out by anchor; a task sorts the string starts of some megabytes of them in one suffix array and marks those
+anchor.  Stretches are dealt out by anchor; a task sorts the string starts of half a megabyte of them in one suffix array and marks those
 with a common prefix of LENGTH with a neighbour.  A stretch under a frequent anchor is cut into runs of few starts which are dealt out by
 the bytes that all strings of the run share, so boilerplate spreads over tasks and its equal copies fold into one.
 Documents with equal texts are one text with a count.
@@ -25,7 +25,7 @@ FREQUENT = 128
 RUN = 16
 #: An anchor with more than one in HOT_SHARE of the repeated stretches is joined by broadcast.
 HOT_SHARE = 1000
-BATCH = 2 << 20
+BATCH = 1 << 19
 #: String starts that are looked at together in a very long text.
 PART = 1 << 23
 
