@@ -222,3 +222,25 @@ def test_a_chain_is_no_cluster(spark):
             reps.append(i)
         assert got[i] == (cover[0] if cover else i)
     assert len(reps) > 1
+
+
+def test_fragments_join_the_longer_text(spark):
+    rng = random.Random(10)
+    letters = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    rows, want = [], {}
+    for f in range(8):
+        text = letters(1000 if f % 2 else 3000)
+        rows.append((f * 100, text))
+        want[f * 100] = f * 100
+        for c in range(1, 11):
+            n = len(text) * (10, 20, 30, 40, 50)[c % 5] // 100
+            at = rng.randrange(len(text) - n)
+            s = list(text[at:at + n])
+            for p in rng.sample(range(n), n // 100 if c > 5 else 0):
+                s[p] = rng.choice("ACGT")
+            rows.append((f * 100 + c, "".join(s)))
+            want[f * 100 + c] = f * 100
+    rows += [(900 + i, s) for i, s in enumerate(["", "ACGTACGTACG", rows[0][1][:12], letters(300) + rows[0][1][:300]])]
+    want |= {900: 900, 901: 901, 902: 0, 903: 903}
+    got = {r.id: r.representative for r in ct.cluster_sequences(spark.createDataFrame(rows, "id long, seq string")).collect()}
+    assert got == want
