@@ -7,13 +7,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sitewright.llm.labels import fold, labelled_sample
+from sitewright.llm.labels import fold, labelled_sample, training_labels
 from sitewright.llm.textblocks import Block, blocks, ngram_hashes
+from sitewright.session import checkpoint
 
 #: Bounds of the fit: labelled documents read, and preference pairs drawn from them.
 MAX_LABELLED = 8000
 MAX_PAIRS = 20000
 BINS = 10
+#: Scores that are cut in the driver; more are narrowed down by histograms of as many bins first.
+MAX_VALUES = 4096
 
 
 def _share_again(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -104,6 +107,50 @@ def fit(x: np.ndarray, y: np.ndarray, share_bad: float, *, pairs: int = MAX_PAIR
     return m
 
 
+def margins(batches, model: Model | None):
+    """Every batch of (_k, text) with the margins of its texts, NaN without a model."""
+    for b in batches:
+        texts = [(t or "").encode() for t in b.column(1).to_pylist()]
+        out, start, held = [], 0, 0
+        for i, t in enumerate(texts):
+            held += len(t)
+            if held >= 1 << 20 or i == len(texts) - 1:
+                out.append(model.margin(features(texts[start:i + 1])) if model else np.full(i + 1 - start, np.nan))
+                start, held = i + 1, 0
+        yield b, np.concatenate(out) if out else np.zeros(0)
+
+
+def quantile_cut(scores: DataFrame, share_bad: float) -> float:
+    """The ``share_bad`` quantile of all rows of (label, s), the classes weighted as they occur, halfway to the next larger score."""
+    n = {r["label"]: r["n"] for r in scores.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    mass = {0: share_bad / max(n.get(0, 0), 1), 1: (1 - share_bad) / max(n.get(1, 0), 1)}
+    below, inside, goal = 0.0, scores, share_bad - 1e-9 * min(mass.values())
+    sums = [F.sum((F.col("label") == y).cast("bigint")).alias(f"n{y}") for y in (0, 1)]
+    weight = lambda r: mass[0] * r["n0"] + mass[1] * r["n1"]
+    while True:
+        lo, hi, rows = inside.agg(F.min("s"), F.max("s"), F.count(F.lit(1))).first()
+        if rows <= MAX_VALUES or lo == hi:
+            break
+        part = F.least(F.floor((F.col("s") - lo) * (MAX_VALUES / (hi - lo))), F.lit(MAX_VALUES - 1))
+        bins = inside.groupBy(part.alias("b")).agg(F.min("s").alias("lo"), F.max("s").alias("hi"), *sums).orderBy("lo").collect()
+        for r in bins:
+            if below + weight(r) >= goal or r is bins[-1]:
+                break
+            below += weight(r)
+        inside = scores.filter(F.col("s").between(r["lo"], r["hi"]))
+    values = inside.groupBy("s").agg(*sums).orderBy("s").collect()
+    for r in values:
+        below += weight(r)
+        if below >= goal:
+            break
+    at = r["s"]
+    if below > share_bad + 1e-9 * min(mass.values()) and r["n0"] + r["n1"] > 1:  # equal scores on both sides of the cut
+        return float(at)
+    after, before = scores.agg(F.min(F.when(F.col("s") > at, F.col("s"))), F.max(F.when(F.col("s") < at, F.col("s")))).first()
+    other = before if after is None else after
+    return float(at if other is None else (at + other) / 2)
+
+
 def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int = 3, held_out_fold: int = 1, id_col: str = "doc_id",
             text_col: str = "text", label: str = "quality", limit: int = MAX_LABELLED) -> DataFrame:
     """(_k, score): the kept columns as a struct, and the score."""
@@ -122,21 +169,26 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int =
         x, y = np.array([r["x"] for r in rows]).reshape(-1, width), np.array([r["label"] for r in rows])
         if len(set(y.tolist())) == 2:
             model = fit(x, y, counts[0] / total)
+            if max(counts.values()) > limit // 2:  # the weights come from a sample, the threshold does not
+                model.threshold = 0.0
+
+                def raw(batches):
+                    for b, m in margins(batches, model):
+                        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m, pa.float64())], ["_k", "s"])
+
+                train = fold(id_col, folds) != held_out_fold
+                known = training_labels(labels, label, train, id_col)
+                every = docs.filter(train).select(F.struct(F.col(id_col).alias("_doc")).alias("_k"), F.col(text_col).alias("_t"))
+                every = every.mapInArrow(raw, T.StructType([T.StructField("_k", every.schema["_k"].dataType), T.StructField("s", T.DoubleType())]))
+                every = every.select("_k._doc", "s").join(known, F.col("_doc") == F.col("_id")).select("label", "s")
+                model.threshold = quantile_cut(checkpoint(every), counts[0] / total)
     flat = counts.get(1, 0) / total if total else 0.5
     inner = docs.select(F.struct(*keep).alias("_k"), F.col(text_col).alias("_t"))
     where = inner.schema["_k"].dataType
 
     def rate(batches):
-        for b in batches:
-            texts = [(t or "").encode() for t in b.column(1).to_pylist()]
-            out, start, held = [], 0, 0
-            for i, t in enumerate(texts):
-                held += len(t)
-                if held >= 1 << 20 or i == len(texts) - 1:
-                    m = model.margin(features(texts[start:i + 1])) if model else np.full(i + 1 - start, np.nan)
-                    out.append(1 / (1 + np.exp(-np.clip(m, -30, 30))))
-                    start, held = i + 1, 0
-            s = np.concatenate(out) if out else np.zeros(0)
+        for b, m in margins(batches, model):
+            s = 1 / (1 + np.exp(-np.clip(m, -30, 30)))
             s = np.where(np.isnan(s), flat, s)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["_k", "score"])
 
@@ -146,7 +198,8 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int =
 def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, ``score`` (0 to 1) and ``predicted`` (1 if the score is 0.5 or more) of every document.
 
-    Learns from labels whose id is outside the held-out fold, at most ``limit`` documents; scores every whole text, a null one as an
+    Learns weights from labels whose id is outside the held-out fold, at most ``limit`` documents, and the threshold from the scores of
+    all of them; scores every whole text, a null one as an
     empty one.  Without labels of both classes every document gets the share of label 1, or 0.5 without any.  Repeated rows are scored
     row by row; an empty table gives an empty result.  Options: ``folds``, ``held_out_fold``, ``id_col``, ``text_col``, ``label``, ``limit``.
     """

@@ -57,3 +57,27 @@ def test_l1_keeps_few_weights():
     examples = [np.unique(np.concatenate([rng.integers(100, 100000, 50), [7] if t else []]).astype(int)) for t in y]
     w, bias = toxicity.ftrl(examples, y.astype(float))
     assert w[7] > 1 and (w != 0).sum() < 400
+
+
+def test_threshold_covers_all_training_labels(spark):
+    rng = np.random.default_rng(3)
+    n = 6000
+    junk = rng.uniform(0, 0.5, n)
+    texts = [" ".join("#|%" if rng.random() < j else f"word{rng.integers(500)}" for _ in range(60)) for j in junk]
+    quality = [int(j + rng.normal() * 0.1 < 0.35) for j in junk]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, q in enumerate(quality)], "doc_id long, quality int")
+    got = quality_classifier.score(docs, labels, limit=200).collect()
+    train = [r for r in got if not held(r.doc_id, 3, 1)]
+    assert abs(sum(r.predicted == 0 for r in train) - sum(quality[r.doc_id] == 0 for r in train)) <= len(train) // 500
+
+
+def test_quantile_cut_narrows_down(spark, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "MAX_VALUES", 8)
+    rng = np.random.default_rng(4)
+    for s in (rng.normal(size=500) ** 3, rng.integers(0, 5, 500).astype(float), np.zeros(500)):
+        y = rng.integers(0, 2, 500)
+        share, order = float((y == 0).mean()), np.sort(s)
+        at = int((y == 0).sum()) - 1
+        got = quality_classifier.quantile_cut(spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "label int, s double"), share)
+        assert got == pytest.approx((order[at] + order[at + 1]) / 2)
