@@ -8,6 +8,7 @@ any template shingle have similarity 0 and get no signature.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ ROWS, BANDS = 2, 24
 #: The templates are sent to every task; more text than this is refused.
 MAX_TEMPLATE_BYTES = 16 << 20
 TABLE_BITS = 22
+#: Shingle hashes that are signed at a time.
+MAX_VALUES = 1 << 20
 
 
 def window_size(s: int) -> int:
@@ -49,7 +52,14 @@ class Group:
     shingles: list[np.ndarray]
     keys: np.ndarray  # sorted band keys
     owner: np.ndarray  # template index of each key
-    marked: np.ndarray  # bit table of all shingles
+    known: np.ndarray  # all shingles, sorted
+
+    @cached_property
+    def marked(self) -> np.ndarray:
+        """Bit table of all shingles, made where it is used: it is far larger than what it is made of."""
+        table = np.zeros(1 << TABLE_BITS, bool)
+        table[self.known >> np.uint64(64 - TABLE_BITS)] = True
+        return table
 
 
 def index(templates: list[tuple[str, str]]) -> list[Group]:
@@ -68,10 +78,7 @@ def index(templates: list[tuple[str, str]]) -> list[Group]:
         keys = np.concatenate([signatures(s[None, :])[0] for _, s in rows])
         owner = np.repeat(np.arange(len(rows)), BANDS)
         order = np.argsort(keys, kind="stable")
-        marked = np.zeros(1 << TABLE_BITS, bool)
-        for _, s in rows:
-            marked[s >> np.uint64(64 - TABLE_BITS)] = True
-        out.append(Group(n, window, [x for x, _ in rows], [s for _, s in rows], keys[order], owner[order], marked))
+        out.append(Group(n, window, [x for x, _ in rows], [s for _, s in rows], keys[order], owner[order], np.unique(np.concatenate([s for _, s in rows]))))
     return out
 
 
@@ -106,6 +113,7 @@ def matches(texts: list[bytes], groups: list[Group], threshold: float, retrieve:
             continue
         near = np.flatnonzero(g.marked[h >> np.uint64(64 - TABLE_BITS)])
         at = np.searchsorted(first, near, side="right") - 1
+        near, at = (x[np.isin(h[near], g.known)] for x in (near, at))
         near = near[(at >= 0) & (near < (first + count)[np.maximum(at, 0)])]
         if not len(near):
             continue
@@ -114,8 +122,9 @@ def matches(texts: list[bytes], groups: list[Group], threshold: float, retrieve:
         text = np.searchsorted(first, starts, side="right") - 1
         end = (first + count)[text]
         hits = []
-        for lo in range(0, len(starts), 20000):
-            s, e = starts[lo:lo + 20000], end[lo:lo + 20000]
+        some_rows = max(1, MAX_VALUES // g.window)
+        for lo in range(0, len(starts), some_rows):
+            s, e = starts[lo:lo + some_rows], end[lo:lo + some_rows]
             if retrieve:
                 rows = h[np.minimum(s[:, None] + np.arange(g.window), e[:, None] - 1)]
                 keys = signatures(rows)

@@ -1,6 +1,7 @@
 """Registered queries of the subpackage: each derives the digest columns of its contract from the operator's own result."""
 from __future__ import annotations
 
+from pathlib import Path
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -110,7 +111,7 @@ def op3(spark, sf_dir):
     return dedup_digest(table(spark, sf_dir, "documents"))
 
 
-#: Notices and grants of public licenses.
+#: Notices, grants and whole texts of public licenses.
 LICENSES = [
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -135,6 +136,24 @@ LICENSES = [
      "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
      "disclaimer."),
     ("all-rights-reserved", "All rights reserved."),
+    ("mit-notice-licensed", "Licensed under the MIT License."),
+    ("bsd-2-clause-notice", "Licensed under the BSD 2-Clause License."),
+    ("bsd-3-clause-notice", "Licensed under the BSD 3-Clause License."),
+    ("isc-notice", "Licensed under the ISC License."),
+    ("mpl-2.0-header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+     "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("lgpl-2.1-header", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("lgpl-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("agpl-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl-2.0-header", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+     "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("epl-2.0-header", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+     "available at https://www.eclipse.org/legal/epl-2.0/"),
+    # whole texts, one file each
+    *((f"{f.stem.lower()}-text", f.read_text(encoding="utf-8")) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))),
 ]
 
 

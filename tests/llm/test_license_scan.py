@@ -51,3 +51,13 @@ def test_odd_rows(spark):
     assert got == [(4, "mit-notice", 0, 4, 1.0), (5, "mit-notice", 40000, 40004, 1.0), (7, "all-rights-reserved", 0, 2, 1.0),
                    (8, "mit-notice", 0, 4, 1.0), (8, "mit-notice", 11, 15, 1.0)]
     assert scan(df.limit(0), LICENSES).collect() == [] and scan(df, []).collect() == [] and scan(df, [("none", "  ")]).collect() == []
+
+
+def test_public_licenses_are_known(spark):
+    names = [n for n, _ in LICENSES]
+    assert len(set(names)) == len(names)
+    texts = {n: t for n, t in LICENSES if n.endswith("-text")}
+    assert {"gpl-3-text", "lgpl-2.1-text", "mpl-2.0-text", "isc-text", "bsd-3-clause-text", "cc0-1.0-text", "unlicense-text"} <= set(texts)
+    want = {**texts, "agpl-3.0-header": dict(LICENSES)["agpl-3.0-header"], "mit-notice-licensed": "This is licensed under the MIT license, as is"}
+    df = spark.createDataFrame([(n, "before it " * 9 + t + " after it" * 9) for n, t in want.items()], "doc_id string, text string")
+    assert {(n, n) for n in want} <= {(r.doc_id, r.template) for r in scan(df, LICENSES).collect()}
