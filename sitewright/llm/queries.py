@@ -165,3 +165,34 @@ def op10(spark, sf_dir):
     places = scan(table(spark, sf_dir, "documents"), LICENSES)
     return places.groupBy("doc_id", F.col("template").alias("license")).agg(
         F.count(F.lit(1)).alias("n_places"), F.min("first_word").alias("first_word"), F.max("containment").alias("containment"))
+
+
+@query("op11_fill_middle", sql.OP11)
+def op11(spark, sf_dir):
+    from sitewright.llm.fill_middle import restored, transform
+
+    made = transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op13_importance_resampling", sql.OP13)
+def op13(spark, sf_dir):
+    from sitewright.llm.importance_resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_personal_data")
+def op12(spark, sf_dir):
+    from sitewright.llm.personal_data import KINDS, find, learn
+
+    docs = table(spark, sf_dir, "documents")
+    found = find(docs, learn(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *(F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

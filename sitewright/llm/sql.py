@@ -68,3 +68,44 @@ outside AS (SELECT DISTINCT s.rid FROM steps s JOIN pick p ON s.lang IS NOT DIST
     AND s.measure = p.measure WHERE s.step < p.low OR s.step > p.high)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND outside.rid IS NULL AS kept
 FROM base LEFT JOIN outside ON base.rid = outside.rid"""
+
+_UNITS = "regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]')"
+
+OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_UNITS} AS u, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+r AS (SELECT *, len(u)::BIGINT AS n, list_transform(range(4), lambda k: ('0x' || substr(h, (8 * k + 1)::INT, 8))::BIGINT) AS x FROM d),
+c AS (SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 90 THEN 'plain'
+    WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
+# crc32 is computed from its polynomial: a table of 256 values, then one step per byte of every distinct feature
+OP13 = r"""
+WITH steps AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: xor(c >> 1, (c & 1) * 3988292384))) AS t),
+texts AS (SELECT row_number() OVER () AS rid, doc_id, text, true AS own FROM documents
+    UNION ALL SELECT -row_number() OVER (), NULL, text, false FROM benchmark),
+words AS (SELECT rid, doc_id, own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+f AS MATERIALIZED (SELECT rid, own, feature, count(*) AS n FROM (SELECT rid, own, unnest(list_concat(w, list_transform(range(1, len(w)),
+    lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM words) GROUP BY ALL),
+kinds AS (SELECT DISTINCT feature, hex(encode(feature)) AS x FROM f),
+coded AS MATERIALIZED (SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(x) // 2),
+    lambda i: ('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT)), lambda c, b: xor(c >> 8, steps.t[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+    FROM kinds, steps),
+sums AS (SELECT bucket, coalesce(sum(n) FILTER (own), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT own), 0)::DOUBLE AS t
+    FROM f JOIN coded USING (feature) GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM sums),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000))))::BIGINT AS g FROM sums, totals),
+mean AS (SELECT rid, sum(n)::BIGINT AS n_features, floor(sum(n * g)::DOUBLE / sum(n))::BIGINT AS weight
+    FROM f JOIN coded USING (feature) JOIN gain USING (bucket) WHERE own GROUP BY rid),
+noisy AS (SELECT rid, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) +
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM words LEFT JOIN mean USING (rid) WHERE own),
+drawn AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id ASC NULLS LAST, n_features) AS rank FROM noisy WHERE n_words >= 20
+    QUALIFY rank <= 25 * count(*) OVER () // 100)
+SELECT doc_id, n_features, weight, score, rank FROM noisy LEFT JOIN drawn USING (rid)"""

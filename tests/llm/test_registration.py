@@ -12,8 +12,8 @@ ROOT = Path(__file__).resolve().parents[2]
 
 def test_names():
     names = entry.queries()
-    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
-    assert "pipeline" in names and {"op2_quality_rules", "op7_mixing"} <= set(entry.oracle_sql()) and len(corpus_pipeline.STAGES) == 5
+    assert [n for n in range(1, 14) if not any(x.startswith(f"op{n}_") for x in names)] == []
+    assert "pipeline" in names and {"op2_quality_rules", "op7_mixing", "op11_fill_middle", "op13_importance_resampling"} <= set(entry.oracle_sql()) and len(corpus_pipeline.STAGES) == 5
 
 
 def test_entry_without_the_folder(tmp_path):
