@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,11 @@ from sitewright.llm.labels import fold
 from sitewright.session import checkpoint
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bounds: candidates of each label that the fit reads, and as many for the calibration.
+#: Bounds of the fit: candidates of each label that it reads (and as many for the calibration), candidates and base spans that one text gives it.
 MAX_FIT = 20000
+MAX_PER_TEXT = 512
+#: Candidates of a text that are rated at a time.
+SLAB = 4096
 CONTEXT = 40
 MAX_DIGITS, MAX_GROUPS = 19, 8
 
@@ -92,9 +96,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def candidates(text: str) -> list[tuple[str, int, int]]:
+def candidates(text: str):
     """Spans worth a look, overlapping: at most MAX_GROUPS per digit group and kind, one per written address and its tails."""
-    out = []
     groups = [m.span() for m in GROUP.finditer(text)]
     near = [b[0] - a[1] <= 3 and GAP.fullmatch(text, a[1], b[0]) is not None for a, b in zip(groups, groups[1:])] + [False]
     for i, (start, end) in enumerate(groups):
@@ -110,21 +113,20 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
             if total > MAX_DIGITS:
                 break
             if dotted and j - i == 3:
-                out.append(("ip", start, end))
+                yield "ip", start, end
             if blanks and total >= 13:
-                out.append(("card", start, end))
+                yield "card", start, end
             if 7 <= total <= 15:
                 lead = start
                 while lead and text[lead - 1] in "(+" and start - lead < 2:
                     lead -= 1
-                out.append(("phone", lead, end))
+                yield "phone", lead, end
     for m in SPELLED.finditer(text):
-        out.append(("email", *m.span()))
+        yield "email", *m.span()
         tail = m.group(3)
         # a sentence may go on behind the address: each shorter list of labels too
-        stops = [d.start() for d in DOT.finditer(tail)][1:]
-        out += [("email", m.start(), m.start(3) + len(tail[:s].rstrip())) for s in stops]
-    return out
+        for stop in [d.start() for d in DOT.finditer(tail)][1:]:
+            yield "email", m.start(), m.start(3) + len(tail[:stop].rstrip())
 
 
 def _class(c: str) -> int:
@@ -167,15 +169,21 @@ def _touch(a: tuple[str, int, int], b: tuple[str, int, int]) -> bool:
     return a[1] < b[2] and b[1] < a[2]
 
 
-def examples(text: str):
-    """(label, row of features) of the candidates of a text and of rewritten windows around its base spans."""
+def spread(rows: list, most: int) -> list:
+    """At most ``most`` of the rows, evenly spread."""
+    return rows if len(rows) <= most else [rows[i * len(rows) // most] for i in range(most)]
+
+
+def examples(text: str, most: int = MAX_PER_TEXT):
+    """(label, row of features) of the candidates of a text and of rewritten windows around its base spans, up to ``most`` of each."""
     known = base_spans(text)
-    found = candidates(text)
+    found = spread(list(candidates(text)), most)
+    exact = set(known)
     reach = sorted(known, key=lambda s: s[1])
     starts = np.array([s[1] for s in reach])
     chosen, labels = [], []
     for c in found:
-        if c in known:
+        if c in exact:
             label = 1
         else:
             # base spans are short and few of them overlap, so only near ones can touch
@@ -186,7 +194,7 @@ def examples(text: str):
         chosen.append(c)
         labels.append(label)
     yield from zip(labels, features(text, chosen))
-    for kind, start, end in known:
+    for kind, start, end in spread(known, most // 8):
         s, left, right = text[start:end], text[max(0, start - CONTEXT):start], text[end:end + CONTEXT]
         # once in another form, then as it is with a number before and behind it, which the rule may take into its match
         other = digits_of(s)[::-1][:4 + 4 * (start % 4)] or "4096"
@@ -207,11 +215,10 @@ class Finder:
 
     def select(self, text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         """Candidates over the threshold that touch neither base spans nor a better candidate."""
-        found = sorted(set(candidates(text)) - set(known))
-        if not found:
-            return []
-        margin = self.trees.margins(features(text, found))
-        order = sorted((i for i, c in enumerate(found) if margin[i] >= self.least[c[0]]), key=lambda i: (-margin[i], found[i][1], -found[i][2], found[i][0]))
+        exact, good, source = set(known), set(), candidates(text)
+        while slab := list(islice(source, SLAB)):
+            slab = [c for c in slab if c not in exact]
+            good.update((-m, c[1], -c[2], c[0]) for c, m in zip(slab, self.trees.margins(features(text, slab))) if m >= self.least[c[0]])
         # spans taken so far, by the blocks of 64 characters that they touch
         taken: dict[int, list] = {}
 
@@ -222,8 +229,8 @@ class Finder:
         for s in known:
             put(s)
         out = []
-        for i in order:
-            c = found[i]
+        for _, start, end, kind in sorted(good):
+            c = (kind, start, -end)
             if not any(_touch(c, s) for b in range(c[1] >> 6, (c[2] - 1 >> 6) + 1) for s in taken.get(b, ())):
                 out.append(c)
                 put(c)
@@ -231,7 +238,7 @@ class Finder:
 
 
 def fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, held: np.ndarray, precision: float) -> Finder | None:
-    """Trees of the rows that are not held out; thresholds where the calibrated share among the held-out ones of a kind reaches ``precision``."""
+    """Trees of the rows that are not held out; thresholds where the odds calibrated on the held-out rows of a kind reach ``precision``, or even odds."""
     own = ~held
     if len(np.unique(y[own])) < 2:
         return None
@@ -239,14 +246,12 @@ def fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, held: np.ndarray, precision
     margin = trees.margins(x)
     for k, kind in enumerate(KINDS):
         at = held & (x[:, 0] == k)
-        edge, share = calibrate(margin[at], y[at], w[at])
-        good = np.flatnonzero(share >= precision)
-        # never below even odds, however clean the few candidates there were
-        least[kind] = max(float(edge[good[0]]), 0.0) if len(good) else np.inf
+        slope, offset = calibrate(margin[at], y[at], w[at])
+        least[kind] = max((np.log(precision / (1 - precision)) - offset) / slope, 0.0) if slope else np.inf
     return Finder(trees, least)
 
 
-def learn(docs: DataFrame, *, folds: int = 4, held_out_fold: int = 2, precision: float = 0.98, id_col: str = "doc_id", text_col: str = "text",
+def learn(docs: DataFrame, *, folds: int = 4, held_out_fold: int = 2, precision: float = 0.95, id_col: str = "doc_id", text_col: str = "text",
           limit: int = MAX_FIT) -> Finder | None:
     """Examples of all documents; the fit reads up to ``limit`` of each label and as many held-out ones, those with the smallest hashes."""
     inner = docs.select(F.coalesce(fold(id_col, folds) == held_out_fold, F.lit(False)).alias("held"), F.col(text_col).alias("t"))

@@ -194,5 +194,6 @@ def op12(spark, sf_dir):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["base"])
-    return found.select("doc_id", *(F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS),
+    kinds = F.transform(base, lambda s: s["kind"])
+    return found.select("doc_id", *((F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in KINDS),
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
