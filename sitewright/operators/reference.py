@@ -2,17 +2,25 @@
 from __future__ import annotations
 
 import sys
+from itertools import combinations, product
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from sitewright.functions import pam_and_type
-from sitewright.operators.core import bin_join, scope
+from sitewright.operators.core import SCOPE, bin_join, scope
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Two bits a letter in one signed 64-bit number.
+MAX_GUIDE = 31
+#: Windows that are coded at a time.
+WINDOWS = 1 << 16
+LETTER_CODES = np.full(256, -1, np.int8)
+LETTER_CODES[np.frombuffer(b"ACGT", np.uint8)] = range(4)
+
 
 def fetch_ref(windows: DataFrame, ref: DataFrame, keys: list[str], out: str = "ref_seq", width: int = 4096) -> DataFrame:
     """Reference text of each window [lo, hi) (0-based), joined from the blocks it touches.
@@ -32,41 +40,117 @@ def fetch_ref(windows: DataFrame, ref: DataFrame, keys: list[str], out: str = "r
     return parts.select(*keys, F.upper(F.array_join("_parts.p", "")).alias(out))
 
 
-def grna_sites(ref: DataFrame, grnas: list[str], max_mm: int = 4) -> DataFrame:
+def seed_deltas(bases: int, changes: int) -> np.ndarray:
+    """Exclusive-or masks that change up to ``changes`` of ``bases`` two-bit letters."""
+    out = []
+    for n in range(min(changes, bases) + 1):
+        for at in combinations(range(bases), n):
+            for new in product((1, 2, 3), repeat=n):
+                out.append(sum(v << 2 * k for k, v in zip(at, new)))
+    return np.array(sorted(out), np.int64)
+
+
+def _coded(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Two-bit letters of a sequence, and 1 where a letter is none of A, C, G, T."""
+    code = LETTER_CODES[np.frombuffer(text, np.uint8)]
+    return np.where(code < 0, 0, code).astype(np.int64), (code < 0).astype(np.int64)
+
+
+def _halves(code, length: int):
+    """(half, seed) of a coded window: the first length // 2 letters and the rest."""
+    rest = 2 * (length - length // 2)
+    return (0, code >> rest), (1, code & (1 << rest) - 1)
+
+
+def _guide_index(guides: DataFrame, keys: list[str], max_mm: int) -> DataFrame:
+    """One row per guide, strand, half and seed within max_mm // 2 changes of that half."""
+    flip = bytes.maketrans(b"ACGT", b"TGCA")
+    inner = guides.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "grna_idx", F.upper("guide").alias("guide")).filter(F.length("guide").between(2, MAX_GUIDE))
+
+    def run(batches):
+        deltas: dict[int, np.ndarray] = {}
+        for b in batches:
+            for row, guide in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                text = guide.encode()
+                for strand, t in (("+", text), ("-", text.translate(flip)[::-1])):
+                    letters, bad = _coded(t)
+                    if len(letters) != len(guide):
+                        continue
+                    code = sum(int(c) << 2 * (len(t) - 1 - k) for k, c in enumerate(letters))
+                    off = sum(int(c) << 2 * (len(t) - 1 - k) for k, c in enumerate(bad))
+                    for half, seed in _halves(code, len(t)):
+                        size = len(t) // 2 if half == 0 else len(t) - len(t) // 2
+                        near = seed ^ deltas.setdefault(size, seed_deltas(size, max_mm // 2))
+                        n, own = len(near), b.slice(row, 1)
+                        same = [pa.array(np.full(n, v)) for v in (len(t), half)]
+                        yield pa.RecordBatch.from_arrays(
+                            [own.column(k).take(pa.array(np.zeros(n, np.int32))) for k in range(b.num_columns - 1)]
+                            + [pa.array([strand] * n), *same, pa.array(near), *(pa.array(np.full(n, v, np.int64)) for v in (code, off))],
+                            [*b.schema.names[:-1], "strand", "_glen", "_ghalf", "_gseed", "_gcode", "_goff"])
+
+    schema = T.StructType([*inner.schema.fields[:-1], T.StructField("strand", T.StringType()),
+                           *(T.StructField(c, T.LongType()) for c in ("_glen", "_ghalf", "_gseed", "_gcode", "_goff"))])
+    return inner.mapInArrow(run, schema)
+
+
+def grna_sites(ref: DataFrame, guides: DataFrame, max_mm: int = 4) -> DataFrame:
     """Guide targets on both strands within ``max_mm`` mismatches, with PAM, type and cut position.
 
-    The guides are a short parameter list.  Each task compares whole blocks to every guide with vector operations
-    and emits hits only.  Blocks overlap their successor by at least guide + PAM - 1 bases and a hit belongs to the
-    block whose core holds its start.
+    ``guides`` has (grna_idx, guide), any number of rows of 2 to 31 letters; a guide of another length has no target.  Pigeonhole seeds: of
+    a guide's two halves one has at most ``max_mm`` // 2 mismatches, so every half is indexed with all its variants within that many, joined
+    with the halves of all windows, and the coded windows are compared bit by bit.  A pair whose halves both qualify counts for the first.
+    Letters other than A, C, G, T match nothing.  If guides carry ``host`` or ``sample`` as the reference does, they are sought there only.
+
+    Blocks overlap their successor by at least guide + PAM - 1 bases and a hit belongs to the block whose core holds its start.
     """
-    guides = [(i + 1, g.upper()) for i, g in enumerate(grnas)]
-    flip = str.maketrans("ACGT", "TGCA")
-    patterns = [(i, "+", g) for i, g in guides] + [(i, "-", g.translate(flip)[::-1]) for i, g in guides]
-    codes = [(i, s, np.frombuffer(p.encode(), dtype=np.uint8)) for i, s, p in patterns]
-    own = [*scope(windows, ref), "chrom"]
-    blocks = ref.select(*own, F.col("start_pos").cast("bigint").alias("start_pos"),
-                        (F.col("core_len") if "core_len" in ref.columns else F.length("seq")).cast("bigint").alias("core_len"), F.upper("seq").alias("seq"))
-
-    def scan(batches):
-        for pdf in batches:
-            out = []
-            for chrom, start, core, seq in pdf.itertuples(index=False):
-                text = np.frombuffer(seq.encode(), dtype=np.uint8)
-                for idx, strand, pat in codes:
-                    n = min(len(text) - len(pat) + 1, core)
-                    if n <= 0:
-                        continue
-                    mm = np.zeros(n, dtype=np.int16)
-                    for k in range(len(pat)):
-                        mm += text[k:k + n] != pat[k]
-                    for at in np.nonzero(mm <= max_mm)[0]:
-                        at = int(at)
-                        end = at + len(pat)
-                        pam = seq[end:end + 3] if strand == "+" else seq[max(0, at - 3):at]
-                        out.append((chrom, idx, strand, start + at, start + end, int(mm[at]), pam))
-            yield pd.DataFrame(out, columns=["chrom", "grna_idx", "strand", "t_start", "t_end", "mismatches", "pam_seq"])
-
-    hits = blocks.mapInPandas(scan, "chrom string, grna_idx int, strand string, t_start long, t_end long, mismatches int, pam_seq string")
+    own, keys = [*(c for c in SCOPE if c in ref.columns), "chrom"], scope(ref, guides)
+    lengths = sorted(r["n"] for r in guides.select(F.length("guide").alias("n")).distinct().filter(F.col("n").between(2, MAX_GUIDE)).collect())
+    core = F.col("core_len") if "core_len" in ref.columns else F.length("seq")
+    blocks = ref.select(*own, F.col("start_pos").cast("bigint").alias("_block"), core.cast("bigint").alias("_core"), F.upper("seq").alias("_seq"))
+    width = len(own)
+
+    def windows(batches):
+        for b in batches:
+            for row in range(b.num_rows):
+                block, core_len, seq = (b.column(width + k)[row].as_py() for k in range(3))
+                if not seq or core_len is None:
+                    continue
+                letters, bad = _coded(seq.encode())
+                for length in lengths:
+                    n = min(len(letters) - length + 1, core_len)
+                    for first in range(0, n, WINDOWS):
+                        m = min(WINDOWS, n - first)
+                        code, off = np.zeros(m, np.int64), np.zeros(m, np.int64)
+                        for k in range(length):
+                            code = code << 2 | letters[first + k:first + k + m]
+                            off = off << 2 | bad[first + k:first + k + m]
+                        at = np.arange(first, first + m)
+                        after = pa.array([seq[i + length:i + length + 3] for i in at.tolist()])
+                        ahead = pa.array([seq[max(0, i - 3):i] for i in at.tolist()])
+                        same = [b.column(k).slice(row, 1).take(pa.array(np.zeros(m, np.int32))) for k in range(width)]
+                        for half, seed in _halves(code, length):
+                            yield pa.RecordBatch.from_arrays(
+                                [*same, *(pa.array(v) for v in (block + at, np.full(m, length), np.full(m, half), seed, code, off)), after, ahead], names)
+
+    numbers = ("t_start", "_len", "_half", "_seed", "_code", "_off")
+    names = [*own, *numbers, "_after", "_ahead"]
+    schema = T.StructType([*blocks.schema.fields[:width], *(T.StructField(c, T.LongType()) for c in numbers),
+                           *(T.StructField(c, T.StringType()) for c in ("_after", "_ahead"))])
+    found = blocks.mapInArrow(windows, schema)
+    index = _guide_index(guides, keys, max_mm)
+    differ = F.col("_code").bitwiseXOR(F.col("_gcode"))
+    low = F.lit(0x1555555555555555)
+    wrong = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(low).bitwiseOR(F.col("_off")).bitwiseOR(F.col("_goff"))
+    on = (F.col("_len") == F.col("_glen")) & (F.col("_half") == F.col("_ghalf")) & (F.col("_seed") == F.col("_gseed"))
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_g_{k}"))
+    rest = F.col("_len") - F.floor(F.col("_len") / 2)
+    first_half = F.bit_count(F.call_function("shiftrightunsigned", wrong, (2 * rest).cast("int")))
+    on = on & (F.bit_count(wrong) <= max_mm) & ((F.col("_half") == 0) | (first_half > max_mm // 2))
+    plus = F.col("strand") == "+"
+    hits = found.join(index, on).select(
+        *own, "grna_idx", "strand", "t_start", (F.col("t_start") + F.col("_len")).alias("t_end"), F.bit_count(wrong).cast("int").alias("mismatches"),
+        F.when(plus, F.col("_after")).otherwise(F.col("_ahead")).alias("pam_seq"))
     info = pam_and_type("strand", "pam_seq", "mismatches", "t_start", "t_end")
     return hits.withColumn("_i", info).select(*hits.columns, "_i.*")
 

@@ -54,9 +54,10 @@ def wn8(t):
 JUNC = "SELECT sample, tname AS chrom, tstart*150 AS pos, line_no FROM {v_paf} WHERE tp = 'P'"
 
 
-@query("rj11_pair_junctions", f"""SELECT sample, chrom, a AS pos_5p, b AS pos_3p, concat('insertion_',chrom,'_',a,CASE WHEN k > 1 THEN concat('_',k) ELSE '' END) AS site_id FROM (SELECT *, row_number() OVER (PARTITION BY sample, chrom, a ORDER BY b DESC) AS k FROM (
-    SELECT sample, chrom, (r).a AS a, (r).b AS b FROM (SELECT sample, chrom, unnest(CASE WHEN s.o IS NULL THEN s.r ELSE list_append(s.r, {{'a': s.o, 'b': 0}}) END) AS r FROM (SELECT sample, chrom, list_reduce(list(pos ORDER BY pos, line_no),
-      lambda a, x: CASE WHEN a.o IS NULL THEN {{'o': x, 'r': a.r}} WHEN x - a.o <= 50000 THEN {{'o': NULL::BIGINT, 'r': list_append(a.r, {{'a': a.o, 'b': x}})}} ELSE {{'o': x, 'r': list_append(a.r, {{'a': a.o, 'b': 0::BIGINT}})}} END, {{'o': NULL::BIGINT, 'r': []::STRUCT(a BIGINT, b BIGINT)[]}}) AS s FROM ({JUNC}) j GROUP BY 1,2) f) g) h) i""")
+# sites of one position are numbered in the order in which the fold makes them
+@query("rj11_pair_junctions", f"""SELECT sample, chrom, a AS pos_5p, b AS pos_3p, concat('insertion_',chrom,'_',a,CASE WHEN k > 1 THEN concat('_',k) ELSE '' END) AS site_id FROM (SELECT *, row_number() OVER (PARTITION BY sample, chrom, a ORDER BY i) AS k FROM (
+    SELECT sample, chrom, r[i].a AS a, r[i].b AS b, i FROM (SELECT sample, chrom, CASE WHEN s.o IS NULL THEN s.r ELSE list_append(s.r, {{'a': s.o, 'b': 0}}) END AS r FROM (SELECT sample, chrom, list_reduce(list(pos ORDER BY pos, line_no),
+      lambda a, x: CASE WHEN a.o IS NULL THEN {{'o': x, 'r': a.r}} WHEN x - a.o <= 50000 THEN {{'o': NULL::BIGINT, 'r': list_append(a.r, {{'a': a.o, 'b': x}})}} ELSE {{'o': x, 'r': list_append(a.r, {{'a': a.o, 'b': 0::BIGINT}})}} END, {{'o': NULL::BIGINT, 'r': []::STRUCT(a BIGINT, b BIGINT)[]}}) AS s FROM ({JUNC}) j GROUP BY 1,2) f) g, unnest(range(1, len(r) + 1)) u(i)) h) q""")
 def rj11(t):
     return an.pair_junctions(lines(t, JUNC))
 

@@ -158,16 +158,31 @@ def wn13(t):
 
 # fixed guide texts: the first is cut from a reference block so that exact hits exist
 GUIDES = ["ACGTGGCCACGTACGTACGT", "GGCCTTAAGGCCTTAAGGCC", "TACGGTACCATTGACCATGG"]
-_g = ", ".join(f"({i + 1}, '{g}')" for i, g in enumerate(GUIDES))
 
 
-@query("rj24_grna_sites", f"""SELECT chrom, grna_idx, strand, t_start, t_start + 20 AS t_end, mismatches, pam_seq, has_pam, CASE WHEN mismatches=0 AND has_pam THEN 'on-target' WHEN mismatches=0 THEN 'on-target-no-PAM' ELSE 'off-target' END AS site_type, CASE WHEN strand='+' THEN t_start+17 ELSE t_start+3 END AS cut_pos FROM (
+def _sites_sql(guides: str, max_mm: int) -> str:
+    return f"""SELECT chrom, grna_idx, strand, t_start, t_start + 20 AS t_end, mismatches, pam_seq, has_pam, CASE WHEN mismatches=0 AND has_pam THEN 'on-target' WHEN mismatches=0 THEN 'on-target-no-PAM' ELSE 'off-target' END AS site_type, CASE WHEN strand='+' THEN t_start+17 ELSE t_start+3 END AS cut_pos FROM (
     SELECT *, length(pam_seq) = 3 AND CASE WHEN strand='+' THEN substr(pam_seq,2,2)='GG' ELSE substr(pam_seq,1,2)='CC' END AS has_pam FROM (
       SELECT chrom, CAST(grna_idx AS INTEGER) AS grna_idx, strand, start_pos + i AS t_start, CAST(hamming(substr(seq, i+1, 20), pat) AS INTEGER) AS mismatches, CASE WHEN strand='+' THEN substr(seq, i+21, 3) ELSE substr(seq, greatest(i-2,1), i - greatest(i-2,1) + 1) END AS pam_seq
-      FROM {{v_ref}}, unnest(range(length(seq)-19)) u(i), (SELECT grna_idx, '+' AS strand, g AS pat FROM (VALUES {_g}) v(grna_idx, g) UNION ALL SELECT grna_idx, '-', reverse(translate(g,'ACGT','TGCA')) FROM (VALUES {_g}) v(grna_idx, g)) p
-      WHERE hamming(substr(seq, i+1, 20), pat) <= 7) h) k""")
+      FROM {{v_ref}}, unnest(range(length(seq)-19)) u(i), (SELECT grna_idx, '+' AS strand, guide AS pat FROM ({guides}) g UNION ALL SELECT grna_idx, '-', reverse(translate(guide,'ACGT','TGCA')) FROM ({guides}) g) p
+      WHERE hamming(substr(seq, i+1, 20), pat) <= {max_mm}) h) k"""
+
+
+FEW_GUIDES = " UNION ALL ".join(f"SELECT {i + 1} AS grna_idx, '{g}' AS guide" for i, g in enumerate(GUIDES))
+# a guide per supplier, taken from the reference with up to three letters replaced
+MANY_GUIDES = """SELECT CAST(s_suppkey AS INT) AS grna_idx, concat(substr(host, o, 4), CASE s_suppkey % 3 WHEN 0 THEN substr(host, o + 4, 1) ELSE 'T' END, substr(host, o + 5, 8),
+    CASE s_suppkey % 4 WHEN 0 THEN substr(host, o + 13, 1) ELSE 'C' END, substr(host, o + 14, 5), CASE s_suppkey % 5 WHEN 0 THEN 'G' ELSE substr(host, o + 19, 1) END) AS guide
+    FROM (SELECT s_suppkey, host, CAST(10 + s_suppkey % 90 AS INT) AS o FROM {supplier} JOIN {v_loci} ON loc = s_suppkey * 13 % 997) t"""
+
+
+@query("rj24_grna_sites", _sites_sql(FEW_GUIDES, 7))
 def rj24(t):
-    return rf.grna_sites(t.v_ref, GUIDES, max_mm=7)
+    return rf.grna_sites(t.v_ref, t.spark.sql(FEW_GUIDES), max_mm=7)
+
+
+@query("rj24_guide_table", _sites_sql(MANY_GUIDES, 4))
+def rj24_table(t):
+    return rf.grna_sites(t.v_ref, lines(t, MANY_GUIDES), max_mm=4)
 
 
 # ---- gene models ----
