@@ -23,6 +23,8 @@ MAX_LEXICON = 20000
 CHUNK = 200
 #: Log-odds by which a training word keeps to its document's language when words are labelled anew.
 ANCHOR = 2.0
+#: Words of one document that count in full when its language is learned.
+DOCUMENT_WORDS = 2000
 UNKNOWN = "und"
 
 
@@ -79,8 +81,10 @@ class Model:
         return np.add.reduceat(per_byte, w.starts, axis=0) + self.lexicon_weights[self.slots(w.hashes)]
 
 
-def marginals(emissions: np.ndarray, first: np.ndarray, counts: np.ndarray, start: np.ndarray, move: np.ndarray, pairs: bool = False):
-    """Posterior of every word's label, and the summed posterior of neighbouring pairs; sequences run side by side, the longest first."""
+def marginals(emissions: np.ndarray, first: np.ndarray, counts: np.ndarray, start: np.ndarray, move: np.ndarray, pairs: bool = False,
+              mass: np.ndarray | None = None):
+    """Posterior of every word's label, and the summed posterior of neighbouring pairs (times the ``mass`` of the first word); sequences
+    run side by side, the longest first."""
     n, k = emissions.shape
     e = np.exp(emissions - emissions.max(1, keepdims=True)) if n else emissions
     order = np.argsort(-counts, kind="stable")
@@ -107,7 +111,7 @@ def marginals(emissions: np.ndarray, first: np.ndarray, counts: np.ndarray, star
     i = np.flatnonzero(inner)
     both = alpha[i][:, :, None] * t[None] * (e[i + 1] * beta[i + 1])[:, None, :]
     both /= np.maximum(both.sum((1, 2), keepdims=True), 1e-30)
-    return post, both.sum(0)
+    return post, (both if mass is None else both * mass[i, None, None]).sum(0)
 
 
 def fit(texts: list[bytes], y: list[int], labels: list[str], *, epochs: int = 3, rate: float = 0.1, batch: int = 128 << 10, ridge: float = 1e-4,
@@ -128,6 +132,10 @@ def fit(texts: list[bytes], y: list[int], labels: list[str], *, epochs: int = 3,
         s += g * g
         x += step * g / np.sqrt(s)
 
+    # every language has the same mass, and no document more than that of DOCUMENT_WORDS words of its language
+    share = np.minimum(w.counts, DOCUMENT_WORDS) / np.maximum(w.counts, 1)
+    of_language = np.bincount(y, share * w.counts, minlength=k)
+    share = share * (w.counts.sum() / max(1, np.count_nonzero(of_language)) / np.maximum(of_language, 1))[np.array(y, np.int64)]
     order = np.random.default_rng(seed).permutation(len(texts))
     groups, held = [[]], 0
     for i in order:
@@ -136,12 +144,12 @@ def fit(texts: list[bytes], y: list[int], labels: list[str], *, epochs: int = 3,
         if held >= batch:
             groups.append([])
             held = 0
-    parts = [(Words([texts[i] for i in g]), np.array([y[i] for i in g])) for g in groups if g]
+    parts = [(Words([texts[i] for i in g]), np.array([y[i] for i in g]), share[g]) for g in groups if g]
     last = epochs - 1 if epochs > 1 else epochs
     sums, steps = None, 0
     for epoch in range(epochs):
-        for part, truth in parts:
-            own = np.repeat(truth, part.counts)
+        for part, truth, shares in parts:
+            own, mass = np.repeat(truth, part.counts), np.repeat(shares, part.counts)
             if not len(own):
                 continue
             e = m.emissions(part)
@@ -152,9 +160,10 @@ def fit(texts: list[bytes], y: list[int], labels: list[str], *, epochs: int = 3,
                 anchored = e.copy()
                 anchored[np.arange(len(own)), own] += ANCHOR
                 own = marginals(anchored, part.first[:-1], part.counts, m.start, m.move)[0].argmax(1)
-            post, both = marginals(e, first, counts, m.start, m.move, pairs=True)
+            post, both = marginals(e, first, counts, m.start, m.move, pairs=True, mass=mass)
             g = -post.astype(float)
             g[np.arange(len(own)), own] += 1
+            g *= mass[:, None]
             size = len(own)
             spread = np.zeros((len(part.grams[0]), k))
             lengths = np.diff(np.concatenate([part.starts, [len(spread)]]))
@@ -169,7 +178,7 @@ def fit(texts: list[bytes], y: list[int], labels: list[str], *, epochs: int = 3,
             inner = np.ones(size, bool)
             inner[first + counts - 1] = False
             i = np.flatnonzero(inner)
-            seen_pairs = np.bincount(own[i] * k + own[i + 1], minlength=k * k).reshape(k, k)
+            seen_pairs = np.bincount(own[i] * k + own[i + 1], mass[i], minlength=k * k).reshape(k, k)
             ascend(m.move, squares[3], (seen_pairs - both) / size - ridge * m.move, 5 * rate)
             ascend(m.start, squares[2], g[first].sum(0) / size - ridge * m.start)
             if epoch == epochs - 1:
