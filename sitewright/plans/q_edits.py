@@ -75,12 +75,16 @@ def ag21(t):
     return rows.groupBy("grp", "chrom", "pos", F.col("i.indel_type").alias("indel_type"), F.upper("i.indel_seq").alias("indel_seq")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-_frac = lambda tag: ", ".join(f"coalesce({tag}.\"{b}\",0)/greatest(coalesce({tag}.dp,0),1) AS {tag}_{b.lower()}" for b in ed.BASES)
+# the oracle counts bases of the wanted positions only, for both samples at once
+_TAGS = {"t": "s0", "c": "s1"}
+fragment("o_wanted", f"""SELECT c.chrom, cut_pos, cut_pos + i AS pos, substr(r.seq, CAST(cut_pos + i - r.start_pos AS BIGINT), 1) AS b FROM ({CUTS}) c JOIN {{v_ref}} r ON r.chrom=c.chrom AND r.start_pos = cut_pos - 100 - (cut_pos + 200) % 400, unnest(range(-30,31)) u(i)""")
+fragment("o_at", "SELECT chrom, pos, " + ", ".join(f"count(*) FILTER (sample='{k}' AND b='{b}') AS {t}_{b.lower()}" for t, k in _TAGS.items() for b in ed.BASES)
+         + ", " + ", ".join(f"count(*) FILTER (sample='{k}' AND b <> 'INS') AS {t}_dp" for t, k in _TAGS.items()) + " FROM (SELECT sample, chrom, pos, b FROM {o_pbase} UNION ALL SELECT sample, chrom, pos, 'INS' FROM {o_ins}) e SEMI JOIN (SELECT DISTINCT chrom, pos FROM {o_wanted}) w USING (chrom, pos) GROUP BY 1,2")
+_frac = lambda t: ", ".join(f"coalesce({t}_{b.lower()},0)/greatest(coalesce({t}_dp,0),1) AS {t}_{b.lower()}" for b in ed.BASES)
 
 
-@query("ag23_modification_profile", f"""SELECT s.chrom, s.cut_pos, s.pos, {_frac('t')}, {_frac('c')}, 1.0::DOUBLE - CASE WHEN t.dp IS NULL THEN 0 ELSE CASE s.b WHEN 'A' THEN t."A" WHEN 'C' THEN t."C" WHEN 'G' THEN t."G" WHEN 'T' THEN t."T" ELSE 0 END END / greatest(coalesce(t.dp,0),1) AS modified
-    FROM (SELECT c.chrom, cut_pos, cut_pos + i AS pos, substr(r.seq, CAST(cut_pos + i - r.start_pos AS BIGINT), 1) AS b FROM ({CUTS}) c JOIN {{v_ref}} r ON r.chrom=c.chrom AND cut_pos BETWEEN r.start_pos+60 AND r.start_pos + 160, unnest(range(-30,31)) u(i)) s
-    LEFT JOIN (SELECT * FROM {{o_pileup}} WHERE sample='s0') t USING (chrom, pos) LEFT JOIN (SELECT * FROM {{o_pileup}} WHERE sample='s1') c USING (chrom, pos)""")
+@query("ag23_modification_profile", f"""SELECT chrom, cut_pos, pos, {_frac('t')}, {_frac('c')}, 1.0::DOUBLE - coalesce(CASE b WHEN 'A' THEN t_a WHEN 'C' THEN t_c WHEN 'G' THEN t_g WHEN 'T' THEN t_t ELSE 0 END, 0) / greatest(coalesce(t_dp,0),1) AS modified
+    FROM {{o_wanted}} LEFT JOIN {{o_at}} USING (chrom, pos)""")
 def ag23(t):
     cuts = lines(t, CUTS)
     p = ed.pileup(ed.pileup_events(t.v_alignments, cuts))
