@@ -140,12 +140,13 @@ def grna_sites(ref: DataFrame, guides: DataFrame, max_mm: int = 4) -> DataFrame:
     index = _guide_index(guides, keys, max_mm)
     differ = F.col("_code").bitwiseXOR(F.col("_gcode"))
     low = F.lit(0x1555555555555555)
-    wrong = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(low).bitwiseOR(F.col("_off")).bitwiseOR(F.col("_goff"))
+    changed = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(low)
+    wrong = changed.bitwiseOR(F.col("_off")).bitwiseOR(F.col("_goff"))
     on = (F.col("_len") == F.col("_glen")) & (F.col("_half") == F.col("_ghalf")) & (F.col("_seed") == F.col("_gseed"))
     for k in keys:
         on = on & (F.col(k) == F.col(f"_g_{k}"))
     rest = F.col("_len") - F.floor(F.col("_len") / 2)
-    first_half = F.bit_count(F.call_function("shiftrightunsigned", wrong, (2 * rest).cast("int")))
+    first_half = F.bit_count(F.call_function("shiftrightunsigned", changed, (2 * rest).cast("int")))
     on = on & (F.bit_count(wrong) <= max_mm) & ((F.col("_half") == 0) | (first_half > max_mm // 2))
     plus = F.col("strand") == "+"
     hits = found.join(index, on).select(
