@@ -14,6 +14,8 @@ TILE = 1 << 20
 #: Columns that tell cohorts apart: reads and calls belong to a sample, reference tables to a host.
 SCOPE = ("sample", "host")
 FOLD_TILE = 4096
+#: Tile maps that are composed in one row, and how often: 2 ** 27 tiles, chromosomes of up to 2 ** 39 bases.
+FAN, ROUNDS = 512, 3
 
 
 def scope(*frames: DataFrame) -> list[str]:
@@ -158,13 +160,52 @@ def upper_median_agg(value) -> Column:
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")
 
 
+def tile_entries(tiles: DataFrame, keys: list[str], states: int) -> DataFrame:
+    """(keys, _tile, _slot): the state in which each tile is entered.
+
+    ``tiles`` has one row per (keys, _tile) with ``_map``, the state it is left in for each of ``states`` entry states.  A tile that does
+    not follow on another is entered in state 0.  Maps compose associatively, so they are scanned in rounds: FAN neighbours become one
+    map, ROUNDS times, and on the way back every group hands its members their states.  No row holds more than FAN maps, however
+    long the chromosome; tiles are numbered from 0 and fewer than FAN ** ROUNDS.
+    """
+    at = F.col("_tile").cast("bigint")
+    level = tiles.select(*keys, at.alias("_at"), at.alias("_first"), at.alias("_last"), "_map")
+    joins = lambda acc, x: F.coalesce(x["_first"] == acc["last"] + 1, F.lit(False))
+    groups = []
+    for _ in range(ROUNDS):
+        members = F.sort_array(F.collect_list(F.struct("_at", "_first", "_last", "_map"))).alias("_members")
+        g = level.groupBy(*keys, F.floor(F.col("_at") / FAN).cast("bigint").alias("_up")).agg(members)
+        groups.append(g)
+        through = F.aggregate("_members", F.struct(F.element_at("_members", 1)["_first"].alias("first"), (F.element_at("_members", 1)["_first"] - 1).alias("last"),
+                                                   F.sequence(F.lit(0), F.lit(states - 1)).alias("map")),
+                              lambda acc, x: F.struct(acc["first"].alias("first"), x["_last"].alias("last"), F.when(
+                                  joins(acc, x), F.transform(acc["map"], lambda s: F.get(x["_map"], s))).otherwise(
+                                  F.array_repeat(F.get(x["_map"], F.lit(0)), states)).alias("map")))
+        level = g.select(*keys, F.col("_up").alias("_at"), through.alias("_t")).select(
+            *keys, "_at", F.col("_t.first").alias("_first"), F.col("_t.last").alias("_last"), F.col("_t.map").alias("_map"))
+    entered = groups[-1].withColumn("_slot", F.lit(0))
+    for lower in [*reversed(groups[:-1]), None]:
+        seed = F.struct((F.element_at("_members", 1)["_first"] - 1).alias("last"),
+                        F.col("_slot").alias("slot"), F.array().cast("array<struct<at:bigint,slot:int>>").alias("out"))
+
+        def step(acc, x):
+            slot = F.when(joins(acc, x), acc["slot"]).otherwise(F.lit(0))
+            return F.struct(x["_last"].alias("last"), F.get(x["_map"], slot).alias("slot"),
+                            F.array_append(acc["out"], F.struct(x["_at"].alias("at"), slot.alias("slot"))).alias("out"))
+
+        down = entered.select(*keys, F.explode(F.aggregate("_members", seed, step, lambda a: a["out"])).alias("_e"))
+        if lower is not None:
+            entered = lower.join(down.select(*keys, F.col("_e.at").alias("_up"), F.col("_e.slot").alias("_slot")), [*keys, "_up"])
+    return down.select(*keys, F.col("_e.at").alias("_tile"), F.col("_e.slot").alias("_slot"))
+
+
 def anchored_clusters(df: DataFrame, keys: list[str], pos: str, window: int, tile: int = FOLD_TILE) -> DataFrame:
     """Tag each distinct position with its cluster anchor.
 
     Scanning upwards, a position more than ``window`` above the current anchor becomes the next anchor.
     The scan is sequential, so each tile is folded on its own: a tile with a gap over ``window`` leaves the
     same last anchor whatever came before, and a tile without one is folded for each of its ``window + 2``
-    possible entry states.  Chaining the tile results gives every tile its true entry state.
+    possible entry states.  Scanning these maps of states gives every tile its true entry state.
     ``df`` holds distinct (keys, pos) plus any payload; adds ``anchor``.
     """
     assert window < tile
@@ -179,30 +220,11 @@ def anchored_clusters(df: DataFrame, keys: list[str], pos: str, window: int, til
     breaks = F.exists(
         F.sequence(F.lit(1), F.size("_ps")),
         lambda i: F.get("_ps", i) - F.get("_ps", i - 1) > window)
-    tiles = tiles.withColumn("_leave", leave(floor)).withColumn(
-        "_leaves", F.when(~F.coalesce(breaks, F.lit(False)), F.transform(
-            F.sequence(F.lit(0), F.lit(window + 1)), lambda i: leave(floor + i))))
-
-    order = Window.partitionBy(*keys).orderBy("_tile")
-    adjacent = F.lag("_tile").over(order) == F.col("_tile") - 1
-    known = F.when(~F.coalesce(adjacent, F.lit(False)), floor).when(F.lag("_leaves").over(order).isNull(),
-                                                                    F.lag("_leave").over(order))
-    state = tiles.select(*keys, "_tile", "_leaves", known.alias("_known"))
-    state = state.withColumn("_run", F.count("_known").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    chain = state.groupBy(*keys, "_run").agg(F.sort_array(F.collect_list(
-        F.struct("_tile", "_known", "_leaves"))).alias("_chain"))
-    seed = F.struct(F.lit(0).cast("bigint").alias("reach"),
-                    F.array().cast("array<struct<tile:bigint,entry:bigint>>").alias("out"))
-
-    def step(acc, x):
-        entry = F.coalesce(x["_known"], acc["reach"])
-        slot = F.greatest(entry - (x["_tile"] * tile - 1), F.lit(0)).cast("int")
-        return F.struct(
-            F.coalesce(F.get(x["_leaves"], slot), F.lit(0).cast("bigint")).alias("reach"),
-            F.array_append(acc["out"], F.struct(x["_tile"].alias("tile"), entry.alias("entry"))).alias("out"))
-
-    entries = chain.select(*keys, F.explode(F.aggregate("_chain", seed, step, lambda a: a["out"])).alias("_e"))
-    entries = entries.select(*keys, F.col("_e.tile").alias("_tile"), F.col("_e.entry").alias("_entry"))
+    # a slot is how far a reach goes beyond the end of the tile before
+    slot = lambda reach: F.greatest(reach - (floor + tile), F.lit(0)).cast("int")
+    maps = tiles.withColumn("_map", F.when(F.coalesce(breaks, F.lit(False)), F.array_repeat(slot(leave(floor)), window + 2)).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(window + 1)), lambda i: slot(leave(floor + i)))))
+    entries = tile_entries(maps.select(*keys, "_tile", "_map"), keys, window + 2).select(*keys, "_tile", (floor + F.col("_slot")).alias("_entry"))
 
     fold_seed = F.struct(F.col("_entry").alias("reach"), F.array().cast("array<bigint>").alias("anchors"))
     anchors = F.aggregate("_ps", fold_seed, lambda acc, p: F.when(p > acc["reach"], F.struct(

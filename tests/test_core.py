@@ -34,6 +34,34 @@ def test_anchored_clusters(points, tile):
     assert got == want
 
 
+@pytest.mark.parametrize("fan, rounds", [(2, 6), (3, 4), (7, 3)])
+def test_tile_maps_are_scanned_in_rounds(points, monkeypatch, fan, rounds):
+    monkeypatch.setattr(core, "FAN", fan)
+    monkeypatch.setattr(core, "ROUNDS", rounds)
+    df, rows = points
+    want, last = {}, {}
+    for k, p in sorted(rows):
+        if p < 4000:
+            if k not in last or p - last[k] > 50:
+                last[k] = p
+            want[(k, p)] = last[k]
+    got = {(r.k, r.pos): r.anchor for r in core.anchored_clusters(df.filter("pos < 4000"), ["k"], "pos", 50, 64).collect()}
+    assert got == want
+
+
+def test_states_of_tiles_after_gaps_and_of_several_keys(spark):
+    rows = [("a", t, [(i * 3 + t) % 5 for i in range(5)]) for t in (*range(40), *range(45, 90), 1000)] + [("b", 7, [4, 3, 2, 1, 0]), ("b", 8, [1, 1, 1, 1, 1])]
+    want, prev = {}, {}
+    for k, t, m in sorted(rows):
+        slot = prev[k][1] if k in prev and prev[k][0] == t - 1 else 0
+        want[(k, t)] = slot
+        prev[k] = (t, m[slot])
+    df = spark.createDataFrame(rows, "k string, _tile long, _map array<int>")
+    got = {(r.k, r._tile): r._slot for r in core.tile_entries(df, ["k"], 5).collect()}
+    assert got == want
+    assert core.tile_entries(df.limit(0), ["k"], 5).collect() == []
+
+
 @pytest.mark.parametrize("tile", [64, 1 << 20])
 def test_islands(points, tile):
     df, rows = points
