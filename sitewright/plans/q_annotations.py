@@ -76,7 +76,7 @@ def rj22(t):
     return sm.recruit_pairs(lines(t, CONTIGS), lines(t, PAIRS))
 
 
-QUERIES = "SELECT sample, qname AS qseqid, CASE WHEN length(seq) % 2 = 0 THEN concat(substr(seq,1,18),'A',substr(seq,20,25)) ELSE reverse(translate(substr(seq,3,40),'ACGT','TGCA')) END AS seq FROM {v_reads} WHERE mate = 1"
+QUERIES = "SELECT sample, concat(qname, '/', CAST(mate AS STRING)) AS qseqid, CASE WHEN length(seq) % 2 = 0 THEN concat(substr(seq,1,18),'A',substr(seq,20)) ELSE reverse(translate(seq,'ACGT','TGCA')) END AS seq FROM {v_reads}"
 SUBJECTS = f"SELECT concat('e',CAST(s_suppkey AS STRING)) AS sseqid, {_BASE} AS seq FROM {{supplier}}"
 
 
@@ -99,7 +99,7 @@ def it3(t):
     return sm.border_hits(lines(t, INSERTS), ["insert_id"])
 
 
-MERGE = "SELECT p_partkey, substr(host,1,150) AS c5, CASE WHEN p_partkey % 3 = 0 THEN elem ELSE substr(host, 151 - CAST(20 + p_partkey % 60 AS INT), 120) END AS c3 FROM {part} JOIN {v_loci} ON loc = p_partkey % 997"
+MERGE = "SELECT p_partkey, host AS c5, CASE WHEN p_partkey % 3 = 0 THEN elem ELSE concat(right(host, CAST(20 + p_partkey % 60 AS INT)), elem) END AS c3 FROM {part} JOIN {v_loci} ON loc = p_partkey % 997"
 
 
 @query("dt17_merge_contigs", f"SELECT p_partkey, CAST(coalesce(o,0) AS INTEGER) AS overlap, CASE WHEN o > 0 THEN concat(c5, substr(c3, o+1)) END AS merged FROM (SELECT *, list_max(list_filter(range(30, least(length(c5),length(c3),500)+1), lambda o: right(c5,o) = left(c3,o))) AS o FROM ({MERGE}) m) x")

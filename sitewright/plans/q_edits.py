@@ -191,7 +191,7 @@ def rj24_table(t):
 
 # ---- gene models ----
 
-REGIONS = "SELECT var_id AS point_id, chrom, pos AS r_start, pos + 40 AS r_end, pos FROM {v_variants} WHERE indel_type = 'snv'"
+REGIONS = "SELECT var_id AS point_id, chrom, pos AS r_start, pos + 40 AS r_end, pos FROM {v_variants}"
 _iv = lambda k, c: f"coalesce(string_agg(concat(f.start_pos,'-',f.end_pos), ',' ORDER BY f.start_pos) FILTER (f.ftype='{k}'), '') AS {c}"
 
 
@@ -208,7 +208,7 @@ fragment("o_vgene", """SELECT v.*, v.pos - 1 - p*1000 AS o, p, p % 2 = 0 AS plus
     FROM {v_variants} v LEFT JOIN (SELECT p_partkey AS p, concat('chr',p_partkey % 5 + 1) AS chrom FROM {part}) g ON g.chrom = v.chrom AND v.pos-1-p*1000 BETWEEN 0 AND 899""")
 
 
-@query("sc30_junction_location", "SELECT var_id AS point_id, coalesce(loc,'intergenic') AS location FROM {o_vgene} WHERE indel_type='snv'")
+@query("sc30_junction_location", "SELECT var_id AS point_id, coalesce(loc,'intergenic') AS location FROM {o_vgene}")
 def sc30(t):
     return ed.junction_location(lines(t, REGIONS), t.v_features, 2000).select("point_id", "location")
 

@@ -288,7 +288,7 @@ def rj3(t):
     return rd.unmapped_reads(t.v_alignments).select("qname", "mate", "flag", flag_is("flag", 8).alias("both_unmapped"))
 
 
-REGIONS = "SELECT chrom, start_pos, end_pos FROM {v_mask} WHERE line_no % 13 = 0"
+REGIONS = "SELECT chrom, start_pos, end_pos FROM {v_mask}"
 _INREG = "EXISTS (SELECT 1 FROM (" + REGIONS + ") r WHERE r.chrom = a.chrom AND a.ref_start + 1 BETWEEN r.start_pos - 500 AND r.end_pos + 500)"
 fragment("o_homology", f"SELECT *, (flag & 4) = 0 AND {_INREG} AS hit FROM {{v_alignments}} a")
 

@@ -91,7 +91,7 @@ def ag8(t):
     return _clusters(t).filter("side = 'left'").select("sample", "chrom", "position", "n_reads", "consensus")
 
 
-TAILS = "SELECT sample, chrom, ref_start AS start_key, substr(seq, CAST(1 + mate % 3 AS INT), CAST(10 + mapq AS INT)) AS tail FROM {v_alignments}"
+TAILS = "SELECT sample, chrom, ref_start AS start_key, seq AS tail FROM {v_alignments}"
 
 
 @query("ag9_vote_extension", "SELECT sample, chrom, start_key, consensus AS extension FROM (" + consensus_sql(
@@ -189,7 +189,7 @@ def wn1(t):
     return st.best_hit(_hits(t)).select("sample", "qseqid", "element", "source", "bitscore")
 
 
-COV = "SELECT header AS qseqid, pident, qcov, line_no FROM (SELECT concat('el',CAST(l_partkey AS STRING)) AS header, CAST(60 + l_suppkey % 41 AS DOUBLE) AS pident, CAST(l_orderkey % 60 AS DOUBLE) AS qcov, l_orderkey*100000 + l_linenumber*10000 + l_suppkey AS line_no FROM {lineitem} WHERE l_partkey % 7 = 0) h"
+COV = "SELECT header AS qseqid, pident, qcov, line_no FROM (SELECT concat('el',CAST(l_partkey AS STRING)) AS header, CAST(60 + l_suppkey % 41 AS DOUBLE) AS pident, CAST(l_orderkey % 60 AS DOUBLE) * (l_partkey % 7) / 6 AS qcov, l_orderkey*100000 + l_linenumber*10000 + l_suppkey AS line_no FROM {lineitem}) h"
 
 
 @query("rj20_host_endogenous", f"SELECT qseqid, arg_max(CASE WHEN pident >= 90 AND qcov >= 50 THEN 'T1' ELSE 'T2' END, line_no) AS label FROM ({COV}) c WHERE (pident >= 90 AND qcov >= 50) OR (pident >= 75 AND qcov >= 30) GROUP BY 1")
