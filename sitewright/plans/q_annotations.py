@@ -80,12 +80,17 @@ QUERIES = "SELECT sample, concat(qname, '/', CAST(mate AS STRING)) AS qseqid, CA
 SUBJECTS = f"SELECT concat('e',CAST(s_suppkey AS STRING)) AS sseqid, {_BASE} AS seq FROM {{supplier}}"
 
 
-@query("rj23_kmer_hits", f"""SELECT sample, qseqid, sseqid, strand, length, pident, score, CAST(CASE WHEN strand='+' THEN a+1 ELSE n-b+1 END AS INTEGER) AS qstart, CAST(CASE WHEN strand='+' THEN a+d+1 ELSE b+d END AS INTEGER) AS sstart, CAST(hit_rank AS INTEGER) AS hit_rank FROM (
+def hits_sql(queries: str, subjects: str) -> str:
+    """Seeded hits of ``queries`` (sample, qseqid, seq) in ``subjects`` (sseqid, seq)."""
+    return f"""SELECT sample, qseqid, sseqid, strand, length, pident, score, CAST(CASE WHEN strand='+' THEN a+1 ELSE n-b+1 END AS INTEGER) AS qstart, CAST(CASE WHEN strand='+' THEN a+d+1 ELSE b+d END AS INTEGER) AS sstart, CAST(hit_rank AS INTEGER) AS hit_rank FROM (
     SELECT h.*, q.sample, q.qseqid, s.sseqid, row_number() OVER (PARTITION BY q.sample, q.qseqid ORDER BY score DESC, s.sseqid, strand, CASE WHEN strand='+' THEN a+d+1 ELSE b+d END, CASE WHEN strand='+' THEN a+1 ELSE n-b+1 END) AS hit_rank FROM (
       SELECT *, (length - hm) * 100.0::DOUBLE / length AS pident, CAST((length - hm)*4 - length*3 AS INTEGER) AS score FROM (SELECT qt, st, strand, d, a, b, CAST(b-a AS INTEGER) AS length, length(qt) AS n, hamming(substr(o, a+1, b-a), substr(st, a+d+1, b-a)) AS hm FROM (
-        SELECT qt, o, strand, st, d, min(i) AS a, max(i)+11 AS b FROM (SELECT *, sum(cut) OVER (PARTITION BY qt, o, strand, st, d ORDER BY i) AS island FROM (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY qt, o, strand, st, d ORDER BY i) <= 22 THEN 0 ELSE 1 END AS cut FROM (SELECT DISTINCT qt, o, strand, st, i, j-i AS d FROM (SELECT qt, o, strand, i, substr(o, i+1, 11) AS m FROM (SELECT seq AS qt, seq AS o, '+' AS strand FROM (SELECT DISTINCT seq FROM ({QUERIES}) q) d UNION ALL SELECT seq, {_RC.format(c='seq')}, '-' FROM (SELECT DISTINCT seq FROM ({QUERIES}) q) d) x, unnest(range(length(o)-10)) u(i) WHERE length(o) >= 11) qk
-        JOIN (SELECT st, j, substr(st, j+1, 11) AS m FROM (SELECT DISTINCT seq AS st FROM ({SUBJECTS}) s) y, unnest(range(length(st)-10)) v(j)) sk USING (m)) e) f) f2 GROUP BY qt, o, strand, st, d, island) g WHERE b-a >= 20) k WHERE (length - hm) * 100.0::DOUBLE / length >= 80) h
-      JOIN ({QUERIES}) q ON q.seq = h.qt JOIN ({SUBJECTS}) s ON s.seq = h.st) r""")
+        SELECT qt, o, strand, st, d, min(i) AS a, max(i)+11 AS b FROM (SELECT *, sum(cut) OVER (PARTITION BY qt, o, strand, st, d ORDER BY i) AS island FROM (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY qt, o, strand, st, d ORDER BY i) <= 22 THEN 0 ELSE 1 END AS cut FROM (SELECT DISTINCT qt, o, strand, st, i, j-i AS d FROM (SELECT qt, o, strand, i, substr(o, i+1, 11) AS m FROM (SELECT seq AS qt, seq AS o, '+' AS strand FROM (SELECT DISTINCT seq FROM ({queries}) q) d UNION ALL SELECT seq, {_RC.format(c='seq')}, '-' FROM (SELECT DISTINCT seq FROM ({queries}) q) d) x, unnest(range(length(o)-10)) u(i) WHERE length(o) >= 11) qk
+        JOIN (SELECT st, j, substr(st, j+1, 11) AS m FROM (SELECT DISTINCT seq AS st FROM ({subjects}) s) y, unnest(range(length(st)-10)) v(j)) sk USING (m)) e) f) f2 GROUP BY qt, o, strand, st, d, island) g WHERE b-a >= 20) k WHERE (length - hm) * 100.0::DOUBLE / length >= 80) h
+      JOIN ({queries}) q ON q.seq = h.qt JOIN ({subjects}) s ON s.seq = h.st) r"""
+
+
+@query("rj23_kmer_hits", hits_sql(QUERIES, SUBJECTS))
 def rj23(t):
     return sm.kmer_hits(lines(t, QUERIES), lines(t, SUBJECTS)).drop("qend", "send")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitewright.operators import core, sites as st
+from sitewright.operators.similarity import kmer_hits
+from sitewright.plans.q_annotations import hits_sql
 from sitewright.plans.q_reads import lines
 from sitewright.plans.registry import fragment, query
 from sitewright.session import checkpoint
@@ -253,25 +255,35 @@ def ag40(t):
     return st.seeds_at(t.v_alignments, lines(t, SEEDSITES))
 
 
-# flagship: alignments -> clips -> clusters -> sites -> mask -> best catalogue hit of each seed -> tier
-FLAG_MASK = "SELECT chrom, start_pos, start_pos + 40 AS end_pos, name, line_no FROM {v_mask} WHERE line_no % 5 = 0"
+# flagship: alignments -> clips -> clusters -> sites -> mask -> hits of whole seeds in the catalogue without host sequence -> host re-check -> tier
+FLAG_MASK = "SELECT chrom, start_pos, start_pos + 40 AS end_pos, name, line_no FROM {v_mask}"
 fragment("o_flag_sites", f"""SELECT s.*, m.mask_element FROM {{o_sites}} s LEFT JOIN (SELECT s.sample, s.site_id, arg_max(name, (start_pos, line_no)) AS mask_element FROM {{o_sites}} s JOIN ({FLAG_MASK}) b ON b.chrom=s.chrom AND start_pos <= base AND base < end_pos GROUP BY 1,2) m USING (sample, site_id)""")
-
-
-@query("flagship_insertion_sites", """SELECT sample, site_id, chrom, base AS pos, CAST(coalesce(length(seed_5p),0) AS INTEGER) AS clip_5p_len, CAST(coalesce(length(seed_3p),0) AS INTEGER) AS clip_3p_len, reads_5p + reads_3p AS n_reads, mask_element,
+# every locus gives its element and a stretch of the host, which must not pass for one
+FLAG_CATALOGUE = "SELECT concat('E', CAST(loc AS STRING), '|src=element_db') AS sseqid, elem AS seq FROM {v_loci} UNION ALL SELECT concat('H', CAST(loc AS STRING), '|src=element_db') AS sseqid, substr(host, 31, 64) AS seq FROM {v_loci}"
+FLAG_HOST = "SELECT concat(chrom, ':', CAST(start_pos AS STRING)) AS sseqid, seq FROM {v_ref}"
+fragment("o_flag_catalogue", FLAG_CATALOGUE)
+fragment("o_flag_seeds", "SELECT sample, concat(site_id, '_5p') AS qseqid, seed_5p AS seq FROM {o_flag_sites} WHERE seed_5p IS NOT NULL UNION ALL SELECT sample, concat(site_id, '_3p'), seed_3p FROM {o_flag_sites} WHERE seed_3p IS NOT NULL")
+fragment("o_flag_foreign", "SELECT c.* FROM {o_flag_catalogue} c WHERE sseqid NOT IN (SELECT h.qseqid FROM ("
+         + hits_sql("SELECT '' AS sample, sseqid AS qseqid, seq FROM {o_flag_catalogue}", FLAG_HOST)
+         + ") h JOIN {o_flag_catalogue} e ON e.sseqid = h.qseqid WHERE (pident >= 90 AND h.length * 100.0 / length(e.seq) >= 50) OR (pident >= 75 AND h.length * 100.0 / length(e.seq) >= 30))")
+fragment("o_flag_best", "SELECT sample, qseqid, replace(sseqid, '|src=element_db', '') AS element FROM (" + hits_sql("SELECT * FROM {o_flag_seeds}", "SELECT * FROM {o_flag_foreign}")
+         + ") h WHERE hit_rank = 1 AND (sample, qseqid) NOT IN (SELECT (sample, qseqid) FROM (" + hits_sql("SELECT * FROM {o_flag_seeds}", FLAG_HOST) + ") c WHERE pident >= 95 AND length >= 30)")
+
+
+@query("flagship_insertion_sites", """SELECT s.sample, site_id, chrom, base AS pos, CAST(coalesce(length(seed_5p),0) AS INTEGER) AS clip_5p_len, CAST(coalesce(length(seed_3p),0) AS INTEGER) AS clip_3p_len, reads_5p + reads_3p AS n_reads, mask_element,
     CASE WHEN mask_element IS NOT NULL THEN mask_element ELSE coalesce(e5.element,'') END AS hit_5p, CASE WHEN mask_element IS NOT NULL THEN mask_element ELSE coalesce(e3.element,'') END AS hit_3p,
     mask_element IS NULL AND (e5.element IS NOT NULL OR e3.element IS NOT NULL) AS transgene_positive
-    FROM {o_flag_sites} s LEFT JOIN (SELECT concat('E',loc) AS element, substr(elem,1,20) AS head FROM {v_loci} WHERE loc % 2 = 0) e5 ON e5.head = left(s.seed_5p,20)
-    LEFT JOIN (SELECT concat('E',loc) AS element, right(elem,20) AS tail FROM {v_loci} WHERE loc % 2 = 0) e3 ON e3.tail = right(s.seed_3p,20)""")
+    FROM {o_flag_sites} s LEFT JOIN {o_flag_best} e5 ON e5.sample = s.sample AND e5.qseqid = concat(site_id, '_5p') LEFT JOIN {o_flag_best} e3 ON e3.sample = s.sample AND e3.qseqid = concat(site_id, '_3p')""")
 def flagship(t):
-    sites = st.apply_mask(st.find_sites(t.v_alignments), lines(t, FLAG_MASK))
-    half = t.v_loci.filter("loc % 2 = 0").select(F.concat(F.lit("E"), "loc", F.lit("|src=element_db")).alias("sseqid"), "elem")
-    five = sites.filter("seed_5p IS NOT NULL").select("sample", F.concat("site_id", F.lit("_5p")).alias("qseqid"), F.substring("seed_5p", 1, 20).alias("k"))
-    three = sites.filter("seed_3p IS NOT NULL").select("sample", F.concat("site_id", F.lit("_3p")).alias("qseqid"), F.right("seed_3p", F.lit(20)).alias("k"))
-    hits = five.join(half.select("sseqid", F.substring("elem", 1, 20).alias("k")), "k").unionByName(
-        three.join(half.select("sseqid", F.right("elem", F.lit(20)).alias("k")), "k")).withColumns(
-        {"pident": F.lit(100.0), "length": F.lit(20).cast("bigint"), "bitscore": F.lit(40.0), "db_idx": F.lit(0), "line_no": F.col("sseqid")})
-    tiers = st.site_tiers(sites, st.best_hit(hits))
+    sites = checkpoint(st.apply_mask(st.find_sites(t.v_alignments), lines(t, FLAG_MASK)))
+    end = lambda e: sites.filter(f"seed_{e} IS NOT NULL").select("sample", F.concat("site_id", F.lit(f"_{e}")).alias("qseqid"), F.col(f"seed_{e}").alias("seq"))
+    seeds, host = end("5p").unionByName(end("3p")), lines(t, FLAG_HOST)
+    catalogue = lines(t, FLAG_CATALOGUE).withColumnRenamed("sseqid", "qseqid")
+    own = kmer_hits(catalogue.withColumn("sample", F.lit("")), host).join(catalogue.select("qseqid", F.length("seq").alias("_n")), "qseqid")
+    own = own.select("qseqid", "pident", (F.col("length") * 100.0 / F.col("_n")).alias("qcov"), F.col("hit_rank").alias("line_no"))
+    foreign = st.drop_endogenous(catalogue, st.host_endogenous(own)).withColumnRenamed("qseqid", "sseqid")
+    hits = kmer_hits(seeds, foreign).select("sample", "qseqid", "sseqid", "pident", "length", F.col("score").alias("bitscore"), F.lit(0).alias("db_idx"), F.col("hit_rank").alias("line_no"))
+    best = st.drop_host_clips(st.best_hit(hits), kmer_hits(seeds, host).select("sample", "qseqid", "pident", "length"))
     reads = sites.select("sample", "site_id", (F.col("reads_5p") + F.col("reads_3p")).alias("n_reads"))
-    return tiers.join(reads, ["sample", "site_id"]).select("sample", "site_id", "chrom", "pos", "clip_5p_len", "clip_3p_len", "n_reads",
-                                                           "mask_element", "hit_5p", "hit_3p", "transgene_positive")
+    return st.site_tiers(sites, best).join(reads, ["sample", "site_id"]).select(
+        "sample", "site_id", "chrom", "pos", "clip_5p_len", "clip_3p_len", "n_reads", "mask_element", "hit_5p", "hit_3p", "transgene_positive")
