@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # a batch of 10,000 long texts would fill a Python worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 
