@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sitewright.llm.textblocks import releasing
+
 BLOCK = 24 << 20
 PARTS = 512
 
@@ -173,8 +175,8 @@ def encode(docs: DataFrame, tokenizer_json: str, *, text_col: str = "text", keep
                                                       pa.array(plain, pa.string())], [*keep, "n_tokens", "ids", "decoded"])
 
     row = "block long, part int, data binary"
-    table = inner.mapInArrow(words, row).repartition("part").sortWithinPartitions("part").mapInArrow(encode_words, row)
-    both = table.unionByName(inner.mapInArrow(payload, row)).repartition("block").sortWithinPartitions("block", "part")
+    table = inner.mapInArrow(releasing(words), row).repartition("part").sortWithinPartitions("part").mapInArrow(releasing(encode_words), row)
+    both = table.unionByName(inner.mapInArrow(releasing(payload), row)).repartition("block").sortWithinPartitions("block", "part")
     schema = T.StructType([*inner.select(*keep).schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
                            T.StructField("decoded", T.StringType())])
-    return both.mapInArrow(join_back, schema)
+    return both.mapInArrow(releasing(join_back), schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitewright.llm.components import components
-from sitewright.llm.textblocks import Block, MULT, blocks, mix, ngram_hashes
+from sitewright.llm.textblocks import Block, blocks, mix, MULT, ngram_hashes, releasing
 from sitewright.session import checkpoint
 
 MAX_RANKED = 1 << 17
@@ -78,7 +78,7 @@ def frequent_ngrams(texts: DataFrame, n: int, *, limit: int = MAX_RANKED, window
         if kept:
             yield flush()
 
-    seen = checkpoint(texts.mapInArrow(count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).withColumn(
+    seen = checkpoint(texts.mapInArrow(releasing(count), "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).withColumn(
         "level", F.floor(8 * F.log2("c")).cast("int")))
     # the lowest level from which on no more than ``limit`` n-grams are left; there are some hundred levels
     held, lowest = 0, None
@@ -257,7 +257,7 @@ class Join:
                     pa.array(cols[4], pa.list_(pa.int32())), pa.array(cols[5], pa.list_(pa.int64()))], ["doc_id", "n", "d1", "d2", "bins", "prefix"])
 
         self.nodes = checkpoint(self.docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-            prefixes, "doc_id long, n long, d1 long, d2 long, bins array<int>, prefix array<long>"))
+            releasing(prefixes), "doc_id long, n long, d1 long, d2 long, bins array<int>, prefix array<long>"))
         #: (n, d1, d2, node): equal sets and the smallest id that has them
         self.classes = checkpoint(self.nodes.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node")))
         self.tried = self.repeats = None
@@ -303,7 +303,7 @@ class Join:
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[0] for x in d], pa.int64()), pa.array(
                         [x[1] for x in d], pa.int64()), pa.array([x.tobytes() for x in s], pa.binary())], ["node", "d1", "d2", "set"])
 
-        found = texts.mapInArrow(read, "node long, d1 long, d2 long, set binary")
+        found = texts.mapInArrow(releasing(read), "node long, d1 long, d2 long, set binary")
         return found.dropDuplicates(["node", "d1", "d2"]).select("node", "set") if self._repeats() else found.select("node", "set")
 
     def close(self, pairs: DataFrame, measures: DataFrame) -> DataFrame:
@@ -335,7 +335,7 @@ class Join:
                     ok.append(100 * both >= p * (len(s) + len(t) - both))
                 yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        return j.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long").distinct()
+        return j.select("a", "b", "sa", "sb").mapInArrow(releasing(check), "a long, b long").distinct()
 
     def links(self) -> DataFrame:
         """Verified links (a, b) between nodes that connect exactly what all links connect."""

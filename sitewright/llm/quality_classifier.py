@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sitewright.llm.labels import fold, labelled_sample, training_labels
-from sitewright.llm.textblocks import Block, blocks, ngram_hashes
+from sitewright.llm.textblocks import Block, blocks, ngram_hashes, releasing
 from sitewright.session import checkpoint
 
 #: Bounds of the fit: labelled documents read, and preference pairs drawn from them.
@@ -165,7 +165,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int =
 
     model = None
     if counts.get(0) and counts.get(1):
-        rows = sample.select("label", "text").mapInArrow(measure, "label int, x array<double>").orderBy("x", "label").collect()
+        rows = sample.select("label", "text").mapInArrow(releasing(measure), "label int, x array<double>").orderBy("x", "label").collect()
         x, y = np.array([r["x"] for r in rows]).reshape(-1, width), np.array([r["label"] for r in rows])
         if len(set(y.tolist())) == 2:
             model = fit(x, y, counts[0] / total)
@@ -179,7 +179,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int =
                 train = fold(id_col, folds) != held_out_fold
                 known = training_labels(labels, label, train, id_col)
                 every = docs.filter(train).select(F.struct(F.col(id_col).alias("_doc")).alias("_k"), F.col(text_col).alias("_t"))
-                every = every.mapInArrow(raw, T.StructType([T.StructField("_k", every.schema["_k"].dataType), T.StructField("s", T.DoubleType())]))
+                every = every.mapInArrow(releasing(raw), T.StructType([T.StructField("_k", every.schema["_k"].dataType), T.StructField("s", T.DoubleType())]))
                 every = every.select("_k._doc", "s").join(known, F.col("_doc") == F.col("_id")).select("label", "s")
                 model.threshold = quantile_cut(checkpoint(every), counts[0] / total)
     flat = counts.get(1, 0) / total if total else 0.5
@@ -192,7 +192,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], *, folds: int =
             s = np.where(np.isnan(s), flat, s)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["_k", "score"])
 
-    return inner.mapInArrow(rate, T.StructType([T.StructField("_k", where), T.StructField("score", T.DoubleType())]))
+    return inner.mapInArrow(releasing(rate), T.StructType([T.StructField("_k", where), T.StructField("score", T.DoubleType())]))
 
 
 def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

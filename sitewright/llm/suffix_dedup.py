@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sitewright.llm.suffix_array import Hashes, sort_positions
+from sitewright.llm.textblocks import releasing
 from sitewright.session import checkpoint
 
 LENGTH = 400
@@ -25,6 +26,8 @@ FREQUENT = 128
 RUN = 16
 #: An anchor with more than one in HOT_SHARE of the repeated stretches is joined by broadcast.
 HOT_SHARE = 1000
+#: Contents that a task remembers.
+MET = 1 << 16
 BATCH = 1 << 19
 #: String starts that are looked at together in a very long text.
 PART = 1 << 23
@@ -102,7 +105,7 @@ def removals(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, frequen
 
     kind = t.schema["doc_id"].dataType.simpleString()
     found = long.select("doc_id", "h1", "h2", "text").mapInArrow(
-        find, f"doc_id {kind}, h1 long, h2 long, anchor array<long>, at array<long>, lo array<long>, hi array<long>")
+        releasing(find), f"doc_id {kind}, h1 long, h2 long, anchor array<long>, at array<long>, lo array<long>, hi array<long>")
     # one row per distinct text; a row that repeats id and text stays, which only adds work
     own = found.join(classes.select("h1", "h2", F.col("rep.doc_id").alias("_rep")), ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("_rep")))
     own = checkpoint(own.select("h1", "h2", F.explode(F.arrays_zip("anchor", "at", "lo", "hi")).alias("s")).select("h1", "h2", "s.*"))
@@ -118,7 +121,7 @@ def removals(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, frequen
     some = checkpoint(long.join(some, ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("_rep"))).select("h1", "h2", "copies", "text", "s"))
 
     def cut_out(batches):
-        met: dict[tuple[int, int], int] = {}  # how often this task has met a content
+        met: dict[tuple[int, int], int] = {}  # how often this task has met a content lately
         for b in batches:
             for i in range(b.num_rows):
                 text, rows = b.column(2)[i].as_py().encode(), []
@@ -139,6 +142,8 @@ def removals(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, frequen
                     digest = [_digest(c + k.to_bytes(4, "little")) for c, k in zip(content, n)]
                     role = []
                     for pair in zip(key, digest):
+                        if len(met) >= MET:  # forgetting only sends some contents once more
+                            met.clear()
                         met[pair] = min(met.get(pair, 0) + 1, 3)
                         role.append(3 - met[pair])
                     yield pa.RecordBatch.from_arrays([
@@ -148,7 +153,7 @@ def removals(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, frequen
                         ["key", "digest", "role", "content", "h1", "h2", "lo", "starts"])
 
     parts = checkpoint(some.select("h1", "h2", "text", "s").mapInArrow(
-        cut_out, "key long, digest long, role int, content binary, h1 long, h2 long, lo long, starts long"))
+        releasing(cut_out), "key long, digest long, role int, content binary, h1 long, h2 long, lo long, starts long"))
 
     def mark(batches):
         """Rows ordered by (key, digest): fold equal contents, sort the rest together, whole keys at a time."""
@@ -187,7 +192,7 @@ def removals(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, frequen
     # a task sends a content once, and once more if it has met it again; the rest of its copies only take the result
     dealt = parts.filter("role > 0").select("key", "digest", "content", "starts", "role").repartition("key").sortWithinPartitions(
         "key", "digest", F.desc("role"))
-    marked = dealt.mapInArrow(mark, "key long, digest long, from array<long>, upto array<long>")
+    marked = dealt.mapInArrow(releasing(mark), "key long, digest long, from array<long>, upto array<long>")
     spans = parts.select("key", "digest", "h1", "h2", "lo").join(marked.filter(F.size("from") > 0), ["key", "digest"])
     spans = spans.select("h1", "h2", F.explode(F.arrays_zip("from", "upto")).alias("s"), "lo").select(
         "h1", "h2", (F.col("lo") + F.col("s.from")).alias("a"), (F.col("lo") + F.col("s.upto") - 1 + length).alias("b"))
@@ -211,7 +216,7 @@ def removals(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, frequen
                                               ["h1", "h2", "spans"])
 
     covered = some.select("h1", "h2", "copies", F.octet_length("text").cast("long").alias("size")).join(spans, ["h1", "h2"], "left")
-    covered = covered.select("h1", "h2", "copies", "raw", "size").mapInArrow(union, "h1 long, h2 long, spans array<struct<lo:long,hi:long>>")
+    covered = covered.select("h1", "h2", "copies", "raw", "size").mapInArrow(releasing(union), "h1 long, h2 long, spans array<struct<lo:long,hi:long>>")
     covered = covered.filter(F.size("spans") > 0).dropDuplicates(["h1", "h2"])
     pieces = covered.join(some.select("h1", "h2", "copies", "text").dropDuplicates(["h1", "h2"]), ["h1", "h2"])
     return t, pieces
@@ -232,7 +237,7 @@ def _apply(pieces: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
                                               pa.array(kept, pa.binary())], ["h1", "h2", "n_removed", "n_spans", "kept"])
 
-    return pieces.select("h1", "h2", "text", "spans").mapInArrow(run, "h1 long, h2 long, n_removed long, n_spans long, kept binary")
+    return pieces.select("h1", "h2", "text", "spans").mapInArrow(releasing(run), "h1 long, h2 long, n_removed long, n_spans long, kept binary")
 
 
 def dedup_digest(docs: DataFrame, **options) -> DataFrame:

@@ -5,7 +5,11 @@ crosses two texts.  All arithmetic is on unsigned 64-bit integers that wrap.
 """
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
+import pyarrow as pa
 
 MULT = 0x9E3779B97F4A7C15
 BASE = 0x100000001B3
@@ -103,3 +107,19 @@ def blocks(batches, size: int = 1 << 20):
                 ids, texts, held = [], [], 0
     if ids:
         yield ids, texts
+
+
+def releasing(run):
+    """The task function ``run``, which at its end gives memory it holds no longer back to the system: a worker lives on and takes other
+    tasks, next to the executor's own memory."""
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return task
