@@ -15,7 +15,8 @@ ag29 ag30 ag31 ag32 ag33 ag34 ag35 ag36 ag37 ag38 ag39 ag40 wn1 wn2 wn3 wn4 wn5
 dt7 dt8 dt9 dt10 dt11 dt12 dt13 dt14 dt15 dt16 dt17 dt19 it1 it2 it3 cu1 cu2 cu3 cu4 cu5 cu6 cu7 cu8 cu9 cu10 cu12""".split()
 
 SAMPLE = ["ag1_anchored_chain", "rj10_pair_chain", "ag4_host_fraction", "dt1_verdict", "rj4_apply_mask", "dt5_site_tiers", "wn18_custody_pairs",
-          "rj16_nearest_junction", "dt14_variant_effect", "flagship_insertion_sites", "ag20_pileup_regions", "fl4_subsample_pairs", "cu2_merge_catalogue"]
+          "rj16_nearest_junction", "dt14_variant_effect", "flagship_insertion_sites", "ag20_pileup_regions", "fl4_subsample_pairs", "cu2_merge_catalogue", "rj24_grna_sites",
+          "rj24_guide_table", "rj11_pair_junctions", "ag23_modification_profile", "rj23_kmer_hits", "rj7_homology_filter", "rj20_clean_catalogue", "dt17_merge_contigs"]
 
 
 def test_every_operator_has_a_query():
