@@ -244,3 +244,23 @@ def test_fragments_join_the_longer_text(spark):
     want |= {900: 900, 901: 901, 902: 0, 903: 903}
     got = {r.id: r.representative for r in ct.cluster_sequences(spark.createDataFrame(rows, "id long, seq string")).collect()}
     assert got == want
+
+
+def test_best_first_in_rounds(spark):
+    """Thinning by rounds takes the rows that one fold takes, whatever the size at which a group is folded."""
+    rows = hits(5, 400) + [("s", "q1", 50, 50, 3.0, 5000, "x"), ("s", "q1", 70, 60, 9.0, 5001, "y")]
+    rows += [("s", "steps", 10 * i, 10 * i + 100 - i // 2, 1.0, 6000 + i, "x") for i in range(12)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    x, y = df.filter("element = 'x'"), df.filter("element = 'y'")
+    for chosen in (lambda n: an.filter_overlaps(df, fold_rows=n), lambda n: an.merge_annotations(x, y, fold_rows=n)):
+        whole, rounds = ({(r.query, r.line_no) for r in chosen(n).collect()} for n in (10_000, 20))
+        assert whole == rounds and whole
+    assert an.filter_overlaps(df.limit(0), fold_rows=0).count() == 0
+
+
+def test_dedupe_flat_hits(spark):
+    rows = [("s", "q", 5, 5, 1.0, 0, "x"), ("s", "q", 1, 10, 1.0, 1, "x"), ("s", "q", 10, 10, 1.0, 2, "x"), ("s", "q", 10, 12, 1.0, 3, "x"),
+            ("s", "q", 11, 30, 1.0, 4, "x"), ("s", "q", 11, 14, 1.0, 5, "x"), ("s", "q", 30, 31, 1.0, 6, "x")]
+    got = {r.line_no for r in an.dedupe_elements(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1, 2, 4, 6}
+    assert an.dedupe_elements(spark.createDataFrame([], SCHEMA)).count() == 0
