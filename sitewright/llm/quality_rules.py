@@ -79,6 +79,7 @@ def fences(sketch: DataFrame, *, spread: float = 4.0, min_docs: int = 50) -> Dat
     """(lang, source, measure, low, high): the median and ``spread`` times its distance to the 10 % and 90 % points, SLACK at least.
 
     A (lang, source) with fewer than ``min_docs`` documents takes the fences of its language, and a language with fewer those of all.
+    No upper fence lies above that of the language or of all documents, so a source with much junk cannot widen its own.
     """
     qs = (0.1, 0.5, 0.9)
 
@@ -97,8 +98,10 @@ def fences(sketch: DataFrame, *, spread: float = 4.0, min_docs: int = 50) -> Dat
     lang = quantile_steps(by_lang, ["lang"], qs).select(F.col("lang").alias("_l"), F.col("measure").alias("_m"), F.col("n_docs").alias("_n2"), bounds("_f2"))
     every = quantile_steps(by_all, [], qs).select(F.col("measure").alias("_a"), bounds("_f3"))
     f = fine.join(lang, F.col("lang").eqNullSafe(F.col("_l")) & (F.col("measure") == F.col("_m"))).join(every, F.col("measure") == F.col("_a"))
-    best = F.when(F.col("_n1") >= min_docs, F.col("_f1")).when(F.col("_n2") >= min_docs, F.col("_f2")).otherwise(F.col("_f3"))
-    return f.select("lang", "source", "measure", best.alias("_b")).select("lang", "source", "measure", "_b.low", "_b.high")
+    pick = lambda one, two, three: F.when(F.col("_n1") >= min_docs, one).when(F.col("_n2") >= min_docs, two).otherwise(three)
+    low = pick(*[F.col(f"_f{i}.low") for i in (1, 2, 3)])
+    high = pick(F.least("_f1.high", "_f2.high", "_f3.high"), F.least("_f2.high", "_f3.high"), F.col("_f3.high"))
+    return f.select("lang", "source", "measure", low.alias("low"), high.alias("high"))
 
 
 def judge(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20, spread: float = 4.0, min_docs: int = 50,

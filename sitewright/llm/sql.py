@@ -61,7 +61,7 @@ fence AS (SELECT level, lang, source, measure, n_docs,
     FROM quant),
 pick AS (SELECT f1.lang, f1.source, f1.measure,
     CASE WHEN f1.n_docs >= 50 THEN f1.low WHEN f2.n_docs >= 50 THEN f2.low ELSE f3.low END AS low,
-    CASE WHEN f1.n_docs >= 50 THEN f1.high WHEN f2.n_docs >= 50 THEN f2.high ELSE f3.high END AS high
+    CASE WHEN f1.n_docs >= 50 THEN least(f1.high, f2.high, f3.high) WHEN f2.n_docs >= 50 THEN least(f2.high, f3.high) ELSE f3.high END AS high
     FROM fence f1 JOIN fence f2 ON f1.level = 1 AND f2.level = 2 AND f1.lang IS NOT DISTINCT FROM f2.lang AND f1.measure = f2.measure
     JOIN fence f3 ON f3.level = 3 AND f3.measure = f1.measure),
 outside AS (SELECT DISTINCT s.rid FROM steps s JOIN pick p ON s.lang IS NOT DISTINCT FROM p.lang AND s.source IS NOT DISTINCT FROM p.source

@@ -66,3 +66,11 @@ def test_targets_and_takes(spark):
     got = plan.groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("size") * F.col("copies")).alias("n"), F.first("source_size").alias("s")).collect()
     assert abs(sum(r.t for r in got) - 1.5 * sum(r.s for r in got)) < 1e-6
     assert all(abs(r.t - r.n) <= 40 and r.t <= 2 * r.s + 1e-9 for r in got)
+
+
+def test_junk_does_not_widen_its_own_fence(spark):
+    """One source in five documents junk: its upper fence is bounded by the fence of all documents."""
+    plain, junk = "plain words that say one thing after the other and then come to an end here", "a # b $ c | d & e * f % g < h > i # j $ k | l"
+    rows = [(i, f"{plain} {i}", "en", f"s{i % 5}") for i in range(500)] + [(1000 + i, f"{junk} {i}", "en", "s0") for i in range(25)]
+    got = {r.doc_id: r.kept for r in quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(kept == (i < 1000) for i, kept in got.items()) and len(got) == 525
