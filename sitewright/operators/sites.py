@@ -212,18 +212,22 @@ def rank_keys() -> list[Column]:
 def rank_sites(sites: DataFrame) -> DataFrame:
     """Rank per sample: element hits first, then confidence, then read support (ties by id).
 
-    Rank = sites in better groups + place inside the group, so no window holds a whole sample.
+    The sites are written in ranges of (sample, keys, id) drawn from a sample of them, equal keys in one range.  Rank = sites of the
+    sample in earlier ranges + place inside the range, so no window holds a whole sample, nor all sites of equal support.
     """
     from pyspark.sql import Window
 
     names = ["_el", "_conf", "_support"]
-    rows = sites.withColumns(dict(zip(names, rank_keys())))
-    groups = rows.groupBy("sample", *names).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("sample").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("_above", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    place = F.row_number().over(Window.partitionBy("sample", *names).orderBy("site_id"))
-    return rows.withColumn("_place", place).join(groups, ["sample", *names]).withColumn(
-        "site_rank", F.col("_above") + F.col("_place")).drop(*names, "_place", "_above")
+    ranges = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = sites.withColumns(dict(zip(names, rank_keys()))).repartitionByRange(ranges, "sample", *names, "site_id")
+    # the number of a range is fixed once it is written
+    rows = checkpoint(rows.withColumn("_range", F.spark_partition_id()))
+    w = Window.partitionBy("sample").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = rows.groupBy("sample", "_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "sample", "_range", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_above"))
+    place = F.row_number().over(Window.partitionBy("sample", "_range").orderBy(*names, "site_id"))
+    return rows.withColumn("_place", place).join(earlier, ["sample", "_range"]).withColumn(
+        "site_rank", F.col("_above") + F.col("_place")).drop(*names, "_range", "_place", "_above")
 
 
 def apply_mask(sites: DataFrame, bed: DataFrame, keys=("sample", "site_id")) -> DataFrame:

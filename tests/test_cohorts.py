@@ -66,3 +66,13 @@ def test_reference_and_genes(spark):
     assert rows(edits.junction_location(pts, feats), "point_id", "location") == [("a", "CDS"), ("b", "intergenic")]
     var = pts.withColumnRenamed("point_id", "var_id")
     assert rows(edits.cds_context(var, feats), "var_id", "gene_id") == [("a", "g1"), ("b", None)]
+
+
+def test_ranks_of_equal_support(spark):
+    """Sites of one support are ranked by id over all ranges, per sample."""
+    rows = [(f"s{i % 2}", f"site{(i * 7919) % 3000:05d}", "high", i % 3 == 0, 5, 5) for i in range(3000)]
+    df = spark.createDataFrame(rows, "sample string, site_id string, confidence string, has_element_hits boolean, reads_5p int, reads_3p int")
+    got = {(r.sample, r.site_id): r.site_rank for r in sites.rank_sites(df).collect()}
+    for sample in ("s0", "s1"):
+        order = sorted((r for r in rows if r[0] == sample), key=lambda r: (not r[3], r[1]))
+        assert [got[sample, r[1]] for r in order] == list(range(1, len(order) + 1))

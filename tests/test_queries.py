@@ -17,7 +17,7 @@ dt7 dt8 dt9 dt10 dt11 dt12 dt13 dt14 dt15 dt16 dt17 dt19 it1 it2 it3 cu1 cu2 cu3
 SAMPLE = ["ag1_anchored_chain", "rj10_pair_chain", "ag4_host_fraction", "dt1_verdict", "rj4_apply_mask", "dt5_site_tiers", "wn18_custody_pairs",
           "rj16_nearest_junction", "dt14_variant_effect", "flagship_insertion_sites", "ag20_pileup_regions", "fl4_subsample_pairs", "cu2_merge_catalogue", "rj24_grna_sites",
           "rj24_guide_table", "rj11_pair_junctions", "ag23_modification_profile", "rj23_kmer_hits", "rj7_homology_filter", "rj20_clean_catalogue", "dt17_merge_contigs",
-          "wn2_merge_annotations", "wn3_dedupe_elements", "wn5_filter_overlaps", "wn8_cassettes"]
+          "wn2_merge_annotations", "wn3_dedupe_elements", "wn5_filter_overlaps", "wn8_cassettes", "wn4_rank_sites"]
 
 
 def test_every_operator_has_a_query():
